@@ -27,3 +27,30 @@ def local_session(cores: int | str = "*", memory: str = "8g", shuffle_partitions
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once an application.
+
+    They unpickle functions by module name, and an executor has no checkout.
+    """
+    import os
+    import tempfile
+    import zipfile
+
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(), "tessera.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.join("tessera", os.path.relpath(path, root)))
+    context.addPyFile(target)
+    _shipped.add(context.applicationId)
