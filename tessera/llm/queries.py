@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, language, packing, quality, resharding, warc
+from tessera.llm import chat, language, packing, quality, resharding, warc, winnowing
 from tessera.llm.common import crc_of_id
 from tessera.session import ship_package, table
 
@@ -51,6 +51,17 @@ def op3_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = winnowing.fingerprints_with_edits(table(spark, sf_dir, "documents"))
+    label = lambda c: F.sha2(F.col(c).cast("string").cast("binary"), 256)
+    return rows.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        label("kept").alias("fingerprint"), label("edited_kept").alias("edited_fingerprint"),
+        winnowing.likeness("own_set", "edited_set").alias("near_edited"), winnowing.likeness("own_set", "next_set").alias("near_next"),
+    )
+
+
 @query
 def op5_quality_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
