@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, language, packing, quality, resharding, warc, winnowing
+from tessera.llm import chat, chosenpath, language, packing, quality, resharding, tiling, warc, winnowing
 from tessera.llm.common import crc_of_id
 from tessera.session import ship_package, table
 
@@ -39,6 +39,11 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows.unionByName(extra)))
 
 
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op3_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -86,6 +91,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op9_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosenpath.chosen_path_join(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), 1024)
