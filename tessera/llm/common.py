@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -37,9 +38,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = staging_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of steps that are written.
+
+    It does so when the driver's garbage is collected, else they stay on disk.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
     """Arrow batches small enough for long texts; a smaller setting is kept."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

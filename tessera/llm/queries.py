@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, chosenpath, language, packing, quality, resharding, tiling, warc, winnowing
+from tessera.llm import chat, chosenpath, language, packing, quality, resharding, suffixes, tiling, warc, winnowing
 from tessera.llm.common import crc_of_id
 from tessera.session import ship_package, table
 
@@ -91,6 +91,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removal_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosenpath.chosen_path_join(table(spark, sf_dir, "documents"))

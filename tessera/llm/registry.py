@@ -1,6 +1,9 @@
-"""The operators' registered queries."""
+"""The operators' registered queries, and the pipeline's."""
 
+import corpus_pipeline
 from tessera.llm import queries
 
-QUERIES = dict(queries.QUERIES)
+QUERIES = {**queries.QUERIES, "pipeline": corpus_pipeline.run}
 ORACLES = dict(queries.ORACLES)
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
