@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -97,13 +96,18 @@ def recover(response: str | None) -> tuple[str, list]:
     return ("aggressive_repair", rebuilt) if rebuilt else ("failed", [])
 
 
-@F.pandas_udf("method string, n long, records string")
-def recovered(responses: pd.Series) -> pd.DataFrame:
-    found = [recover(r) for r in responses]
-    return pd.DataFrame([(m, len(r), json.dumps(r, ensure_ascii=False)) for m, r in found], columns=["method", "n", "records"])
+def recovered(c: Column) -> Column:
+    """(method, n, records) of a response, by ``recover``."""
+
+    @F.pandas_udf("method string, n long, records string")
+    def run(responses: pd.Series) -> pd.DataFrame:
+        found = [recover(r) for r in responses]
+        return pd.DataFrame([(m, len(r), json.dumps(r, ensure_ascii=False)) for m, r in found], columns=["method", "n", "records"])
+
+    return run(c)
 
 
 def recovery_report(logs: DataFrame) -> DataFrame:
     """Failed long responses with the repair that works: (id, method, n, records)."""
     failed = logs.filter("NOT parsed_success AND length(raw_response) > 1000 AND raw_response NOT LIKE 'ERROR:%'")
-    return failed.withColumn("_r", recovered("raw_response")).select("id", F.length("raw_response").alias("response_length"), "_r.method", F.col("_r.n").alias("records_recovered"), "_r.records")
+    return failed.withColumn("_r", recovered(F.col("raw_response"))).select("id", F.length("raw_response").alias("response_length"), "_r.method", F.col("_r.n").alias("records_recovered"), "_r.records")

@@ -120,7 +120,7 @@ def country_name(c: Column) -> Column:
     return mapped(spaces(split_joined_words(c)), COUNTRY_NAMES)
 
 
-def resolve_countries(df: DataFrame, known: DataFrame, column: str = "Country", out: str = "country") -> DataFrame:
+def resolve_countries(df: DataFrame, known: DataFrame, column: str = "Country", out: str = "StandardCountry") -> DataFrame:
     """The wider standardizer against a table of known names (name string).
 
     In this order: a known name; the map; the map ignoring case; a known name
@@ -144,7 +144,8 @@ def resolve_countries(df: DataFrame, known: DataFrame, column: str = "Country",
     )
     congo = F.when(low.contains("democratic"), "Democratic Republic of the Congo").when(low.contains("republic") | low.contains("brazzaville"), "Congo")
     rules = F.when(low.contains("congo"), F.coalesce(congo, F.lit("Democratic Republic of the Congo"))).when(low.contains("tanzania"), "United Republic of Tanzania")
-    names = values.join(found, F.col(column).eqNullSafe(found[column]), "left").drop(found[column])
+    found = found.withColumnRenamed(column, "_found")
+    names = values.join(found, F.col(column).eqNullSafe(F.col("_found")), "left")
     names = names.select(F.col(column).alias("_raw"), F.coalesce("_exact", by_map, by_case, "_near", rules, "_text").alias(out))
     return df.join(names, F.col(column).eqNullSafe(F.col("_raw")), "left").drop("_raw")
 

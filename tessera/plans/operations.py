@@ -127,12 +127,12 @@ def distinct_on(spark, sf_dir):
     return W.keep_first(table(spark, sf_dir, "lineitem"), ("l_suppkey", "l_returnflag"), ("l_orderkey", "l_linenumber")).select("l_suppkey", "l_returnflag", "l_orderkey", "l_linenumber")
 
 
-@register("unprocessed_files", "SELECT DISTINCT o_orderpriority || '-' || year(o_orderdate) AS name FROM orders WHERE o_orderpriority || '-' || year(o_orderdate) NOT IN (SELECT o_orderpriority || '-' || year(o_orderdate) FROM orders WHERE o_totalprice > 2990)")
+@register("unprocessed_files", "SELECT DISTINCT o_orderpriority || '-' || year(o_orderdate) AS name FROM orders WHERE o_orderpriority || '-' || year(o_orderdate) NOT IN (SELECT o_orderpriority || '-' || year(o_orderdate) FROM orders WHERE o_totalprice > 499000)")
 def unprocessed_files(spark, sf_dir):
     from tessera.sources.files import unprocessed
 
     rows = table(spark, sf_dir, "orders").withColumn("name", F.concat("o_orderpriority", F.lit("-"), F.year("o_orderdate").cast("string")))
-    return unprocessed(rows.select("name").distinct(), rows.filter("o_totalprice > 2990"))
+    return unprocessed(rows.select("name").distinct(), rows.filter("o_totalprice > 499000"))
 
 
 @register("sampled_sources")
@@ -235,10 +235,12 @@ def json_field_decode(spark, sf_dir):
     return events(spark, sf_dir).groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k).alias("total"), F.count(F.when(F.get_json_object("props", "$.missing").isNull(), 1)).alias("lacking"))
 
 
-def responses(spark, sf_dir) -> DataFrame:
-    """A response per user: fenced, enveloped, truncated or plain, by the user's number."""
+def responses(spark, sf_dir, users: int | None = None) -> DataFrame:
+    """A response per user (or user number modulo ``users``): fenced, enveloped,
+    truncated or plain, by the number."""
     items = F.transform(F.array_sort(F.collect_list(F.struct("event_id", "props"))), lambda x: x["props"])
-    body = events(spark, sf_dir).groupBy("user_id").agg(F.concat_ws(", ", items).alias("body"), F.count("*").alias("expected"))
+    rows = events(spark, sf_dir).withColumn("user_id", F.col("user_id") % users if users else F.col("user_id"))
+    body = rows.groupBy("user_id").agg(F.concat_ws(", ", items).alias("body"), F.count("*").alias("expected"))
     kind = F.col("user_id") % 4
     text = (
         F.when(kind == 0, F.concat(F.lit("```json\n["), "body", F.lit("]\n```")))
@@ -259,7 +261,7 @@ def json_records_repair(spark, sf_dir):
 @register("json_recovery_cascade")
 def json_recovery_cascade(spark, sf_dir):
     ship_package(spark)
-    rows = responses(spark, sf_dir).select(F.col("user_id").alias("id"), F.lit(False).alias("parsed_success"), F.col("response").alias("raw_response"))
+    rows = responses(spark, sf_dir, users=20).select(F.col("user_id").alias("id"), F.lit(False).alias("parsed_success"), F.col("response").alias("raw_response"))
     return J.recovery_report(rows)
 
 
@@ -328,7 +330,7 @@ SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'Côte d''Ivoire' WHEN 1 THEN '
 def country_resolution(spark, sf_dir):
     raw = "CASE p_partkey % 6 WHEN 0 THEN 'Ivory Coast' WHEN 1 THEN 'dr congo' WHEN 2 THEN concat('NATION_', p_size % 25, ' (north)') WHEN 3 THEN 'NATION_7' WHEN 4 THEN 'kinshasa congo' ELSE 'Nowhere' END AS Country"
     known = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"))
-    return N.resolve_countries(table(spark, sf_dir, "part").selectExpr("p_partkey", raw), known).select("p_partkey", "country")
+    return N.resolve_countries(table(spark, sf_dir, "part").selectExpr("p_partkey", raw), known).select("p_partkey", F.col("StandardCountry").alias("country"))
 
 
 _FILE = "CASE o_orderkey % 5 WHEN 0 THEN concat('Week_', o_custkey % 52 + 1, '__19_-_25_May_', 2020 + o_orderkey % 6, '.pdf') WHEN 1 THEN concat('OEW', lpad(concat(o_custkey % 52 + 1, ''), 2, '0'), '-', 2020 + o_orderkey % 6, '.pdf') WHEN 2 THEN 'OEW05-232901.pdf' WHEN 3 THEN concat('OEW7-', 1990 + o_orderkey % 6, '.pdf') ELSE 'notes.pdf' END"
@@ -411,6 +413,13 @@ def cells(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS table_id", "l_linenumber AS row_no", f"{line} AS cells")
 
 
+def supplier_cells(spark, sf_dir) -> DataFrame:
+    """The same rows in one table a supplier, for the row-by-row state machine."""
+    keys = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS table_id", "l_linenumber AS row_no", "l_suppkey")
+    rows = cells(spark, sf_dir).join(keys, ["table_id", "row_no"])
+    return rows.select(F.col("l_suppkey").alias("table_id"), (F.col("table_id") * 10 + F.col("row_no")).alias("row_no"), "cells")
+
+
 @register("table_row_predicates", "SELECT l_orderkey AS table_id, l_linenumber AS row_no, l_linenumber % 4 IN (1, 2) AS data_row, l_linenumber % 4 IN (1, 2) AS has_number, l_linenumber % 4 = 0 AS header FROM lineitem")
 def table_row_predicates(spark, sf_dir):
     c = F.col("cells")
@@ -431,7 +440,7 @@ def table_narratives(spark, sf_dir):
 @register("alternating_rows")
 def alternating_rows(spark, sf_dir):
     ship_package(spark)
-    return T.paired_narrative(cells(spark, sf_dir)).select("table_id", "row_no", "narrative")
+    return T.paired_narrative(supplier_cells(spark, sf_dir)).select("table_id", "row_no", "narrative")
 
 
 _SENTENCE = "concat('Kenya Cholera Grade 2 01-Jan-24 some ', int(o_totalprice) % 900 + 100, ' and ', o_custkey % 90 + 10, ' then ', o_orderkey % 9 + 1, ' rate 1.5% end')"
@@ -466,7 +475,7 @@ def stitched_regions(spark, sf_dir):
 @register("positioned_lines")
 def positioned_lines(spark, sf_dir):
     ship_package(spark)
-    words = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page_id"), F.col("l_linenumber").alias("seq"), F.col("l_quantity").alias("y0"), F.col("l_extendedprice").alias("x0"), F.col("l_returnflag").alias("text"))
+    words = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("page_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.col("l_quantity").alias("y0"), F.col("l_extendedprice").alias("x0"), F.col("l_returnflag").alias("text"))
     return T.text_lines(words)
 
 
@@ -494,11 +503,11 @@ def corrections_by_index(spark, sf_dir):
     return C.apply_by_index(table(spark, sf_dir, "customer"), fixes, ("c_mktsegment",), "c_custkey").select("c_custkey", "c_mktsegment")
 
 
-@register("corrections_by_text", """WITH p AS (SELECT p_partkey, p_brand AS c, p_type AS e, p_size FROM part), x AS (SELECT n_nationkey AS seq, 'brand#' || n_nationkey || n_regionkey AS country FROM nation), m AS (SELECT seq, p_partkey, p_size, count(*) OVER (PARTITION BY seq) AS n FROM x JOIN p ON contains(lower(c), country) AND contains(lower(e), 'econ') AND p_size < 4)
+@register("corrections_by_text", """WITH p AS (SELECT p_partkey, p_brand AS c, p_type AS e, p_size FROM part), x AS (SELECT n_nationkey AS seq, 'brand#' || n_nationkey AS country FROM nation), m AS (SELECT seq, p_partkey, p_size, count(*) OVER (PARTITION BY seq) AS n FROM x JOIN p ON contains(lower(c), country) AND contains(lower(e), 'econ') AND p_size < 2)
 SELECT CAST(seq AS BIGINT) AS seq, p_partkey AS row_id, '99' AS new_value FROM m WHERE n = 1 AND p_size = 1""")
 def corrections_by_text(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").filter("p_size < 4").select("p_partkey", F.col("p_brand").alias("Country"), F.col("p_type").alias("Event"), "p_size")
-    fixes = table(spark, sf_dir, "nation").selectExpr("bigint(n_nationkey) AS seq", "concat('Brand#', n_nationkey, n_regionkey) AS country", "'econ' AS event", "'p_size' AS field", "' 1' AS old_value", "'99' AS new_value", "0.9 AS confidence")
+    rows = table(spark, sf_dir, "part").filter("p_size < 2").select("p_partkey", F.col("p_brand").alias("Country"), F.col("p_type").alias("Event"), "p_size")
+    fixes = table(spark, sf_dir, "nation").selectExpr("bigint(n_nationkey) AS seq", "concat('Brand#', n_nationkey) AS country", "'econ' AS event", "'p_size' AS field", "' 1' AS old_value", "'99' AS new_value", "0.9 AS confidence")
     return C.unique_text_matches(rows, fixes, "p_partkey").select("seq", F.col("row").alias("row_id"), "new_value")
 
 
