@@ -479,6 +479,36 @@ def positioned_lines(spark, sf_dir):
     return T.text_lines(words)
 
 
+_BULLETIN = "concat('<p><a href=\"/files/Week_', o_custkey % 52 + 1, '__1_-_7_May_', 2020 + o_custkey % 6, '.pdf\">Week</a> <a href=\"/about\">About</a></p>') AS html"
+
+
+@register("scraped_bulletins", "SELECT DISTINCT '/files/Week_' || (o_custkey % 52 + 1) || '__1_-_7_May_' || (2020 + o_custkey % 6) || '.pdf' AS href, CAST(o_custkey % 52 + 1 AS INT) AS week, CAST(2020 + o_custkey % 6 AS INT) AS year FROM orders")
+def scraped_bulletins(spark, sf_dir):
+    from tessera.plans import pipelines
+
+    return pipelines.bulletins(table(spark, sf_dir, "orders").selectExpr("o_orderkey AS page_id", _BULLETIN)).select("href", "week", "year")
+
+
+@register("relevant_lines", """WITH l AS (SELECT o_custkey AS doc_id, o_orderkey AS line_no, concat('order ', o_orderkey, ' of ', o_totalprice, CASE o_orderkey % 3 WHEN 0 THEN ' deaths reported' WHEN 1 THEN ' in NATION_3' ELSE ' as usual' END) AS line FROM orders), n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS rn FROM l WHERE line LIKE '% reported' OR line LIKE '% NATION_3')
+SELECT doc_id, line FROM n WHERE rn <= 15""")
+def relevant_lines(spark, sf_dir):
+    from tessera.operators import narrative
+
+    line = "concat('order ', o_orderkey, ' of ', o_totalprice, CASE o_orderkey % 3 WHEN 0 THEN ' deaths reported' WHEN 1 THEN ' in NATION_3' ELSE ' as usual' END)"
+    rows = table(spark, sf_dir, "orders").selectExpr("o_custkey AS doc_id", f"struct(o_orderkey AS k, {line} AS line) AS l")
+    docs = rows.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda x: x["line"]), "\n").alias("text"))
+    records = table(spark, sf_dir, "nation").filter("n_nationkey < 8").selectExpr("n_name AS Country", "'Cholera' AS Event", "n_nationkey AS seq")
+    return narrative.relevant_lines(docs, records).select("doc_id", "line")
+
+
+@register("table_summary", "WITH d AS (SELECT p_brand AS Country, p_type AS Event FROM part), c AS (SELECT Country, count(*) AS n FROM d GROUP BY 1 ORDER BY n DESC, Country LIMIT 5), e AS (SELECT Event, count(*) AS n FROM d GROUP BY 1 ORDER BY n DESC, Event LIMIT 5) SELECT (SELECT count(*) FROM d) AS records, (SELECT count(DISTINCT Country) FROM d) AS countries, (SELECT count(DISTINCT Event) FROM d) AS events, (SELECT string_agg(Country, ',' ORDER BY n DESC, Country) FROM c) AS top_countries, (SELECT string_agg(Event, ',' ORDER BY n DESC, Event) FROM e) AS top_events")
+def table_summary(spark, sf_dir):
+    from tessera.operators import narrative
+
+    out = narrative.table_summary(table(spark, sf_dir, "part").selectExpr("p_brand AS Country", "p_type AS Event"))
+    return out.select("records", "countries", "events", F.array_join("top_Country.value", ",").alias("top_countries"), F.array_join("top_Event.value", ",").alias("top_events"))
+
+
 # ----------------------------------------------------------------- corrections
 
 
