@@ -20,10 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import chosenpath, language, packing, suffixes, tiling
-from tessera.llm.common import bounded_batches, staging_path
+from tessera.llm.common import bounded_batches, staged, staging_path
 from tessera.session import ship_package, table
 
 
+BROADCAST_IDS = 1_000_000
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     bounded_batches(spark)
@@ -44,8 +47,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    found = tiling.leaks(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+    found = staged(tiling.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "leaks")
+    # Few documents leak: counted, they need no shuffle of the texts.
+    found = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
+    return docs.join(found, "doc_id", "left_anti")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
