@@ -8,7 +8,7 @@ ones. The score is one less the distance as a share of the largest possible.
 
 Null texts and texts without a letter are ``und`` with score 0. Profiles are
 learned from at most about ``sample`` texts a language, chosen by a hash of the
-id. Repeated rows count as often as they stand there; extra columns are kept.
+id. Repeated rows count as often as they stand there; extra columns are ignored.
 Without a learned language every text is ``und``.
 """
 
@@ -100,12 +100,15 @@ def learn_profiles(docs: DataFrame, use: Column, top: int = 300, sample: int = 2
     return {r["lang"]: np.array([x["gram"] for x in r["best"]], dtype=np.uint64) for r in best.collect()}
 
 
+def sorted_profiles(profiles: Profiles) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Each profile as its n-grams in order and their ranks, for lookups."""
+    orders = {lang: np.argsort(profile) for lang, profile in profiles.items()}
+    return {lang: (profiles[lang][order], order.astype(np.int64)) for lang, order in orders.items()}
+
+
 def identify(docs: DataFrame, profiles: Profiles, top: int = 300) -> DataFrame:
-    """``docs`` with lang_pred and score."""
-    tables = {}
-    for lang, profile in profiles.items():
-        order = np.argsort(profile)
-        tables[lang] = (profile[order], order.astype(np.int64))
+    """(doc_id, lang_pred, score) of every row."""
+    tables = sorted_profiles(profiles)
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -122,10 +125,7 @@ def identify(docs: DataFrame, profiles: Profiles, top: int = 300) -> DataFrame:
 
 def language_columns(profiles: Profiles, top: int = 300):
     """A column expression builder (lang_pred, score) for filters that keep rows whole."""
-    tables = {}
-    for lang, profile in profiles.items():
-        order = np.argsort(profile)
-        tables[lang] = (profile[order], order.astype(np.int64))
+    tables = sorted_profiles(profiles)
 
     @F.pandas_udf("lang_pred string, score double")
     def label(texts: pd.Series) -> pd.DataFrame:
