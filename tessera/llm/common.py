@@ -42,6 +42,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes staged tables that later steps no longer read."""
+    for df in tables:
+        spark = df.sparkSession
+        folders = {f.rpartition("/")[0] for f in df.inputFiles()}
+        for folder in folders:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop the shuffle files of steps that are written.
 
@@ -51,12 +61,15 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Arrow batches small enough for long texts; a smaller setting is kept."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key, "10000"))
-    if now <= 0 or now > rows:
-        spark.conf.set(key, str(rows))
+def bounded_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Arrow batches bounded by bytes, so that long texts fit and short rows come
+    many at a time; a smaller setting is kept."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    text = spark.conf.get(key, "64m").lower().removesuffix("b")
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(text[-1:], 1)
+    now = int(text.rstrip("kmg") or 0) * unit
+    if now <= 0 or now > size:
+        spark.conf.set(key, str(size))
 
 
 def text_or_empty(name: str = "text"):
