@@ -101,6 +101,11 @@ def op9_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosenpath.chosen_path_join(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op7_warc"] = """WITH p AS (SELECT page_id, coalesce(html, '') AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest, CASE WHEN strlen(h) >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+CASE WHEN strlen(h) >= 1000 AND page_id < top THEN top END AS refers_to FROM p"""
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), 1024)
