@@ -38,8 +38,7 @@ SHINGLE = 5
 WIDTH = 64  # embedding positions
 BUCKET = 128  # nodes compared by brute force at once
 BLOCK = 256  # sets verified at once
-DEPTH = 4
-CHILDREN = 2
+DEPTH = 8
 _SCALE = np.random.default_rng(99).integers(1, 1 << 63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -96,20 +95,23 @@ def first_paths(nodes: DataFrame, runs: int) -> DataFrame:
 
 
 def next_paths(rows: DataFrame) -> DataFrame:
-    """Each path extended by the tokens at CHILDREN positions that it chooses."""
+    """Each path extended by the token at a position that it chooses, every fourth
+    path at a second one too: 1.25 children on average, so that what is similar
+    to the threshold neither dies out nor multiplies."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if len(pdf):
-                emb, path = stack(pdf["emb"]), pdf["path"].to_numpy().astype(np.uint64)
-                out = []
-                for c in range(CHILDREN):
-                    place = (mix(path + np.uint64(c * 7919 + 1)) % np.uint64(WIDTH)).astype(np.int64)
-                    token = emb[np.arange(len(emb)), place].astype(np.uint64)
-                    out.append(mix(mix(path + np.uint64(c)) ^ (token * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))).astype(np.int64))
-                yield pd.DataFrame({"path": np.concatenate(out), "node": np.tile(pdf["node"].to_numpy(), CHILDREN)})
+            if not len(pdf):
+                continue
+            emb, path, node, far = stack(pdf["emb"]), pdf["path"].to_numpy().astype(np.uint64), pdf["node"].to_numpy(), pdf["far"].to_numpy()
+            for c in range(2):
+                own = np.flatnonzero(mix(path + np.uint64(31)) % np.uint64(4) == 0) if c else np.arange(len(path))
+                place = (mix(path[own] + np.uint64(c * 7919 + 1)) % np.uint64(WIDTH)).astype(np.int64)
+                token = emb[own, place].astype(np.uint64)
+                child = mix(mix(path[own] + np.uint64(c)) ^ (token * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)))
+                yield pd.DataFrame({"path": child.astype(np.int64), "node": node[own], "far": far[own]})
 
-    return rows.mapInPandas(emit, "path long, node long")
+    return rows.mapInPandas(emit, "path long, node long, far boolean")
 
 
 def roots_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -182,25 +184,26 @@ def candidate_edges(nodes: DataFrame, runs: int, lenient: float) -> DataFrame:
     """Edges (u, v) whose components hold every similar pair, but for the chance
     that no run or the embedding shows it."""
     emb = nodes.select("node", "emb")
-    level, found = first_paths(nodes, runs), []
+    level, found = first_paths(nodes, runs).withColumn("far", F.lit(True)), []
     for depth in range(DEPTH + 1):
-        sizes = level.groupBy("path").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).filter("size > 1")
-        live = staged(level.join(sizes, "path").join(emb, "node"), "buckets")
+        # Pairs of nodes that agree with one pivot are joined by it, so a bucket
+        # without a node far from the last pivot has nothing left to find.
+        sizes = level.groupBy("path").agg(F.count("*").alias("size"), F.min("node").alias("pivot"), F.max("far").alias("open")).filter("size > 1 AND open").drop("open")
+        live = staged(level.drop("far").join(sizes.hint("merge"), "path").join(emb.hint("merge"), "node"), "buckets")
         found.append(bucket_edges(live.filter(F.col("size") <= BUCKET), lenient))
         large = live.filter(F.col("size") > BUCKET)
         if large.isEmpty():
             break
         pivots = large.filter("node = pivot").select("path", F.col("emb").alias("pivot_emb"))
-        near = staged(large.join(pivots, "path").withColumn("near", agreeing("emb", "pivot_emb", lenient)).drop("pivot_emb"), "pivots")
-        found.append(near.filter("near AND node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")))
-        odd = near.filter("NOT near").groupBy("path").agg(F.count("*").alias("odd"))
-        split = near.join(odd, "path")
+        split = staged(large.join(pivots, "path").withColumn("far", ~agreeing("emb", "pivot_emb", lenient)).drop("pivot_emb"), "pivots")
+        found.append(split.filter("NOT far AND node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")))
+        odd = split.filter("far").groupBy("path").agg(F.count("*").alias("odd"))
         if odd.isEmpty():
             break
         if depth < DEPTH:
-            level = staged(next_paths(split.select("path", "node", "emb")), "paths").distinct()
+            level = staged(next_paths(split.join(odd, "path").select("path", "node", "far", "emb")), "paths")
         else:
-            found.append(block_edges(split, lenient))
+            found.append(block_edges(split.join(odd, "path"), lenient))
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
@@ -214,7 +217,7 @@ def block_edges(rows: DataFrame, lenient: float) -> DataFrame:
     odd_blocks = F.ceil(F.col("odd") / half).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     side = F.pmod(F.xxhash64("node", F.lit(1)), odd_blocks).cast("int")
-    left = rows.filter("NOT near").select("path", "node", "emb", side.alias("i"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
+    left = rows.filter("far").select("path", "node", "emb", side.alias("i"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
     right = rows.select("path", "node", "emb", F.explode(F.sequence(F.lit(0), odd_blocks - 1)).alias("i"), own.alias("j"))
     cells = left.unionByName(right).distinct()
     return bucket_edges(cells.select(F.xxhash64("path", "i", "j").alias("path"), "node", "emb"), lenient)
@@ -300,7 +303,7 @@ def chosen_path_join(docs: DataFrame, threshold: float = 0.8, runs: int = 12, id
             yield pdf.drop(columns="text").assign(shingles=out)
 
     texts = docs.select(F.col(id_col).alias("first"), text_or_empty(text_col).alias("text"))
-    chosen = wanted.join(texts, "first").select("node", "comp", "weight", "blocks", "side", "text")
+    chosen = wanted.hint("merge").join(texts, "first").select("node", "comp", "weight", "blocks", "side", "text")
     sets = chosen.mapInPandas(read, "node long, comp long, weight long, blocks int, side int, shingles binary")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cells = sets.withColumn("k", other).select("node", "comp", "weight", "side", "shingles", F.least("side", "k").alias("i"), F.greatest("side", "k").alias("j"))
