@@ -109,9 +109,9 @@ def next_paths(rows: DataFrame) -> DataFrame:
                 place = (mix(path[own] + np.uint64(c * 7919 + 1)) % np.uint64(WIDTH)).astype(np.int64)
                 token = emb[own, place].astype(np.uint64)
                 child = mix(mix(path[own] + np.uint64(c)) ^ (token * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)))
-                yield pd.DataFrame({"path": child.astype(np.int64), "node": node[own], "far": far[own]})
+                yield pd.DataFrame({"path": child.astype(np.int64), "node": node[own], "far": far[own], "emb": pdf["emb"].to_numpy()[own]})
 
-    return rows.mapInPandas(emit, "path long, node long, far boolean")
+    return rows.mapInPandas(emit, "path long, node long, far boolean, emb binary")
 
 
 def roots_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -189,7 +189,9 @@ def candidate_edges(nodes: DataFrame, runs: int, lenient: float) -> DataFrame:
         # Pairs of nodes that agree with one pivot are joined by it, so a bucket
         # without a node far from the last pivot has nothing left to find.
         sizes = level.groupBy("path").agg(F.count("*").alias("size"), F.min("node").alias("pivot"), F.max("far").alias("open")).filter("size > 1 AND open").drop("open")
-        live = staged(level.drop("far").join(sizes.hint("merge"), "path").join(emb.hint("merge"), "node"), "buckets")
+        live = level.drop("far").join(sizes.hint("merge"), "path")
+        # Deeper levels carry their few nodes' embeddings along.
+        live = staged(live if depth else live.join(emb.hint("merge"), "node"), "buckets")
         found.append(bucket_edges(live.filter(F.col("size") <= BUCKET), lenient))
         large = live.filter(F.col("size") > BUCKET)
         if large.isEmpty():
