@@ -6,9 +6,13 @@ alike from every set that holds it, so agreeing there is sharing a sampled
 token. Each of ``runs`` runs splits all nodes by their token at one position.
 A small bucket is compared by brute force. A large one is compared with its
 least node, and unless all agree with it, split again on further sampled
-tokens; what is still large at the last depth is compared block by block, so
-no bucket is cut short. A pair of similarity s is missed by every run with
-probability (1 - s)**runs.
+tokens. Where few nodes disagree, and at the last depth, they are compared with
+the whole bucket block by block, so no bucket is cut short. A pair of similarity
+s is missed by every run with probability (1 - s)**runs if its buckets are small.
+In large ones it survives a level by either of two tokens, a branching process
+that dies out with the least probability q = (1 - s + s q)**2, at any depth: all
+runs miss with (1 - s + s q)**runs at most, 0.25**12 at 0.8, were positions
+independent.
 
 Comparisons in buckets are by embedding and lenient. They give candidate
 components, within which the exact similarity of all pairs is counted on the
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -39,6 +44,8 @@ WIDTH = 64  # embedding positions
 BUCKET = 128  # nodes compared by brute force at once
 BLOCK = 256  # sets verified at once
 DEPTH = 8
+CHILDREN = 2  # above 1 / threshold, or what is similar to the threshold dies out
+HAND = 4  # rows that a block comparison may make of each row before the last depth
 _SCALE = np.random.default_rng(99).integers(1, 1 << 63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -95,21 +102,18 @@ def first_paths(nodes: DataFrame, runs: int) -> DataFrame:
 
 
 def next_paths(rows: DataFrame) -> DataFrame:
-    """Each path extended by the token at a position that it chooses, every fourth
-    path at a second one too: 1.25 children on average, so that what is similar
-    to the threshold neither dies out nor multiplies."""
+    """Each path extended by the tokens at CHILDREN positions that it chooses."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if not len(pdf):
                 continue
-            emb, path, node, far = stack(pdf["emb"]), pdf["path"].to_numpy().astype(np.uint64), pdf["node"].to_numpy(), pdf["far"].to_numpy()
-            for c in range(2):
-                own = np.flatnonzero(mix(path + np.uint64(31)) % np.uint64(4) == 0) if c else np.arange(len(path))
-                place = (mix(path[own] + np.uint64(c * 7919 + 1)) % np.uint64(WIDTH)).astype(np.int64)
-                token = emb[own, place].astype(np.uint64)
-                child = mix(mix(path[own] + np.uint64(c)) ^ (token * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)))
-                yield pd.DataFrame({"path": child.astype(np.int64), "node": node[own], "far": far[own], "emb": pdf["emb"].to_numpy()[own]})
+            emb, path = stack(pdf["emb"]), pdf["path"].to_numpy().astype(np.uint64)
+            for c in range(CHILDREN):
+                place = (mix(path + np.uint64(c * 7919 + 1)) % np.uint64(WIDTH)).astype(np.int64)
+                token = emb[np.arange(len(path)), place].astype(np.uint64)
+                child = mix(mix(path + np.uint64(c)) ^ (token * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)))
+                yield pdf[["node", "far", "emb"]].assign(path=child.astype(np.int64))[["path", "node", "far", "emb"]]
 
     return rows.mapInPandas(emit, "path long, node long, far boolean, emb binary")
 
@@ -140,7 +144,7 @@ def bucket_edges(rows: DataFrame, lenient: float) -> DataFrame:
         a_all, b_all = [], []
         # the j-th of a bucket meets the j before it
         total = np.cumsum(place)
-        cut = np.unique(np.searchsorted(total, np.arange(0, total[-1] + 400_000, 400_000)))
+        cut = np.unique(np.searchsorted(total, np.arange(0, total[-1] + 100_000, 100_000)))
         for lo, hi in zip(cut, np.append(cut[1:], len(path))):
             p = place[lo:hi]
             b = np.repeat(np.arange(lo, hi), p)
@@ -184,7 +188,7 @@ def candidate_edges(nodes: DataFrame, runs: int, lenient: float) -> DataFrame:
     """Edges (u, v) whose components hold every similar pair, but for the chance
     that no run or the embedding shows it."""
     emb = nodes.select("node", "emb")
-    level, found = first_paths(nodes, runs).withColumn("far", F.lit(True)), []
+    level, cells, found = first_paths(nodes, runs).withColumn("far", F.lit(True)), [], []
     for depth in range(DEPTH + 1):
         # Pairs of nodes that agree with one pivot are joined by it, so a bucket
         # without a node far from the last pivot has nothing left to find.
@@ -192,7 +196,7 @@ def candidate_edges(nodes: DataFrame, runs: int, lenient: float) -> DataFrame:
         live = level.drop("far").join(sizes.hint("merge"), "path")
         # Deeper levels carry their few nodes' embeddings along.
         live = staged(live if depth else live.join(emb.hint("merge"), "node"), "buckets")
-        found.append(bucket_edges(live.filter(F.col("size") <= BUCKET), lenient))
+        cells.append(live.filter(F.col("size") <= BUCKET).select("path", "node", "emb"))
         large = live.filter(F.col("size") > BUCKET)
         if large.isEmpty():
             break
@@ -202,27 +206,31 @@ def candidate_edges(nodes: DataFrame, runs: int, lenient: float) -> DataFrame:
         odd = split.filter("far").groupBy("path").agg(F.count("*").alias("odd"))
         if odd.isEmpty():
             break
+        crowded, (blocks, odd_blocks) = split.join(odd, "path"), grid()
+        cheap = F.col("odd") * blocks + F.col("size") * odd_blocks <= HAND * F.col("size") if depth < DEPTH else F.lit(True)
+        cells.append(block_cells(crowded.filter(cheap)))
         if depth < DEPTH:
-            level = staged(next_paths(split.join(odd, "path").select("path", "node", "far", "emb")), "paths")
-        else:
-            found.append(block_edges(split.join(odd, "path"), lenient))
-    out = found[0]
-    for more in found[1:]:
-        out = out.union(more)
-    return out
+            level = staged(next_paths(crowded.filter(~cheap).select("path", "node", "far", "emb")), "paths")
+    # Paths of different levels differ: one shuffle serves the buckets of all.
+    return reduce(DataFrame.union, [bucket_edges(reduce(DataFrame.union, cells), lenient), *found])
+
+
+def grid():
+    """Numbers of blocks of a bucket's nodes, and of those that do not agree."""
+    half = 2 * BUCKET
+    return F.ceil(F.col("size") / half).cast("int"), F.ceil(F.col("odd") / half).cast("int")
 
 
-def block_edges(rows: DataFrame, lenient: float) -> DataFrame:
-    """What does not agree with the pivot against all, in blocks of both."""
-    half = BUCKET // 2
-    blocks = F.ceil(F.col("size") / half).cast("int")
-    odd_blocks = F.ceil(F.col("odd") / half).cast("int")
+def block_cells(rows: DataFrame) -> DataFrame:
+    """(path, node, emb) of buckets that meet what does not agree with the pivot
+    with all, in blocks of both."""
+    blocks, odd_blocks = grid()
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     side = F.pmod(F.xxhash64("node", F.lit(1)), odd_blocks).cast("int")
     left = rows.filter("far").select("path", "node", "emb", side.alias("i"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
     right = rows.select("path", "node", "emb", F.explode(F.sequence(F.lit(0), odd_blocks - 1)).alias("i"), own.alias("j"))
     cells = left.unionByName(right).distinct()
-    return bucket_edges(cells.select(F.xxhash64("path", "i", "j").alias("path"), "node", "emb"), lenient)
+    return cells.select(F.xxhash64("path", "i", "j").alias("path"), "node", "emb")
 
 
 def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:

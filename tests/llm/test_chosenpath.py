@@ -1,7 +1,9 @@
 import random
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import chosenpath
 from tessera.session import ship_package
@@ -66,3 +68,28 @@ def test_links_and_classes_equal_brute_force(spark, monkeypatch, bucket, depth):
 def test_empty_table(spark):
     ship_package(spark)
     assert chosenpath.chosen_path_join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_links_equal_brute_force_where_few_disagree(spark, monkeypatch):
+    monkeypatch.setattr(chosenpath, "BUCKET", 4)
+    monkeypatch.setattr(chosenpath, "BLOCK", 16)
+    ship_package(spark)
+    rows = sample(groups=6, copies=40, seed=8)
+    docs = spark.createDataFrame([(*r, "clash") for r in rows], SCHEMA).repartition(5)
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in chosenpath.chosen_path_join(docs).collect()}
+    assert got == brute(rows)
+
+
+def test_similar_pairs_stay_together_down_to_the_last_level(spark):
+    """Isolated pairs of similarity 0.8, all of whose buckets are split again."""
+    ship_package(spark)
+    r, pairs = np.random.default_rng(3), 400
+    a, b = (r.integers(0, 1 << 32, (pairs, chosenpath.WIDTH), dtype=np.uint32) for _ in range(2))
+    b = np.where(r.random(a.shape) < 0.8, a, b)
+    nodes = spark.createDataFrame([(2 * k + side, x[k].tobytes()) for k in range(pairs) for side, x in enumerate((a, b))], "node long, emb binary")
+    level = chosenpath.first_paths(nodes, 12).join(nodes, "node").select("path", "node", F.lit(True).alias("far"), "emb")
+    for _ in range(chosenpath.DEPTH):
+        level = chosenpath.next_paths(level)
+        both = level.groupBy("path").count().filter("count > 1").select("path")
+        level = level.join(both, "path").localCheckpoint()
+    assert level.select(F.expr("node div 2")).distinct().count() == pairs
