@@ -50,6 +50,16 @@ def timeline_full_outer(spark, sf_dir):
     return W.timeline(total(side_a(spark, sf_dir).filter("WeekNumber < 4")), total(side_b(spark, sf_dir).filter("WeekNumber > 1")), "n")
 
 
+@register("timeline_full_outer_whole", f"""WITH {SIDES_SQL}, l AS (SELECT Year, WeekNumber, sum(Deaths) AS x FROM side_a GROUP BY 1, 2), r AS (SELECT Year, CASE WHEN WeekNumber = 4 THEN 5 ELSE WeekNumber END AS WeekNumber, sum(Deaths) AS y FROM side_b GROUP BY 1, 2)
+SELECT coalesce(l.Year, r.Year) AS Year, coalesce(l.WeekNumber, r.WeekNumber) AS WeekNumber, CAST(x AS DOUBLE) AS left_value, CAST(y AS DOUBLE) AS right_value, coalesce(x, -1) <> coalesce(y, -1) AS mismatch,
+coalesce(l.Year, r.Year) || '-W' || lpad(CAST(coalesce(l.WeekNumber, r.WeekNumber) AS VARCHAR), 2, '0') AS TimeLabel, coalesce(l.Year, r.Year) * 100 + coalesce(l.WeekNumber, r.WeekNumber) AS TimeOrder FROM l FULL JOIN r ON l.Year = r.Year AND l.WeekNumber = r.WeekNumber""")
+def timeline_full_outer_whole(spark, sf_dir):
+    """All rows of both sides; the second dates the last quarter one later, so periods are one-sided."""
+    total = lambda df: df.groupBy("Year", "WeekNumber").agg(F.sum("Deaths").cast("double").alias("n"))
+    late = F.when(F.col("WeekNumber") == 4, 5).otherwise(F.col("WeekNumber"))
+    return W.timeline(total(side_a(spark, sf_dir)), total(side_b(spark, sf_dir).withColumn("WeekNumber", late)), "n")
+
+
 @register("weekly_count_differences", f"""WITH {SIDES_SQL}, l AS (SELECT Year, WeekNumber, count(*) AS x FROM side_a GROUP BY 1, 2), r AS (SELECT Year, WeekNumber, count(*) AS y FROM side_b GROUP BY 1, 2), j AS (SELECT coalesce(x, 0) AS x, coalesce(y, 0) AS y FROM l FULL JOIN r ON l.Year = r.Year AND l.WeekNumber = r.WeekNumber)
 SELECT count(*) AS weeks, round_even(avg(CASE WHEN x <> y THEN 1.0 ELSE 0.0 END) * 100, 2) AS differing_pct FROM j""")
 def weekly_count_differences(spark, sf_dir):

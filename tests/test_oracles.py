@@ -39,3 +39,12 @@ def test_query(spark, db, name):
         expected = sorted(([plain(dict(zip(names, r))[c]) for c in columns] for r in found.fetchall()), key=repr)
         assert sorted(names) == columns
         assert rows == expected
+
+
+def test_timeline_takes_every_row_of_both_sides(spark):
+    from tessera.plans.harness import side_a, side_b
+
+    rows = catalog.QUERIES["timeline_full_outer_whole"](spark, DATA).collect()
+    for column, side in (("left_value", side_a), ("right_value", side_b)):
+        assert sum(r[column] or 0 for r in rows) == side(spark, DATA).agg({"Deaths": "sum"}).first()[0]
+        assert any(r[column] is None for r in rows)
