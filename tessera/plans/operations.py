@@ -13,7 +13,7 @@ from tessera.operators import logs as L
 from tessera.operators import metrics as M
 from tessera.operators import tables as T
 from tessera.operators import timeseries as W
-from tessera.plans.catalog import register
+from tessera.plans.catalog import ORACLES, register
 from tessera.plans.harness import SIDES_SQL, side_a, side_b
 from tessera.session import ship_package, table
 
@@ -391,6 +391,13 @@ def narrative_predicates(spark, sf_dir):
     return rows.groupBy("doc_id").agg(F.count(F.when(T.is_narrative(F.col("line")), 1)).alias("narrative"), F.count(F.when(T.is_narrative_line(F.col("line")), 1)).alias("narrative_lines"))
 
 
+@register("narrative_predicates_whole", ORACLES["narrative_predicates"].replace(" WHERE lang = 'en'", ""))
+def narrative_predicates_whole(spark, sf_dir):
+    """The same over documents of every language and of none."""
+    rows = T.lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.groupBy("doc_id").agg(F.count(F.when(T.is_narrative(F.col("line")), 1)).alias("narrative"), F.count(F.when(T.is_narrative_line(F.col("line")), 1)).alias("narrative_lines"))
+
+
 _BLANKS = "concat(o_orderkey, ' 12 ', CASE o_orderkey % 5 WHEN 0 THEN 'N/A' WHEN 1 THEN '---' WHEN 2 THEN 'null' WHEN 3 THEN '     ' ELSE '7' END, ' 34 end')"
 
 
@@ -507,7 +514,7 @@ def relevant_lines(spark, sf_dir):
     line = "concat('order ', o_orderkey, ' of ', o_totalprice, CASE o_orderkey % 3 WHEN 0 THEN ' deaths reported' WHEN 1 THEN ' in NATION_3' ELSE ' as usual' END)"
     rows = table(spark, sf_dir, "orders").selectExpr("o_custkey AS doc_id", f"struct(o_orderkey AS k, {line} AS line) AS l")
     docs = rows.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda x: x["line"]), "\n").alias("text"))
-    records = table(spark, sf_dir, "nation").filter("n_nationkey < 8").selectExpr("n_name AS Country", "'Cholera' AS Event", "n_nationkey AS seq")
+    records = table(spark, sf_dir, "nation").selectExpr("n_name AS Country", "'Cholera' AS Event", "n_nationkey AS seq")
     return narrative.relevant_lines(docs, records).select("doc_id", "line")
 
 
@@ -551,6 +558,20 @@ def corrections_by_text(spark, sf_dir):
     return C.unique_text_matches(rows, fixes, "p_partkey").select("seq", F.col("row").alias("row_id"), "new_value")
 
 
+_FIXES = ("n_nationkey AS seq", "CASE WHEN n_nationkey % 5 = 4 THEN p_brand ELSE concat('Part ', p_partkey, '.') END AS country", "substr(p_type, 1, 4) AS event", "CASE WHEN n_nationkey % 3 = 2 THEN 0 ELSE p_size END AS old")
+
+
+@register("corrections_by_text_whole", f"""WITH p AS (SELECT p_partkey, lower(concat(p_brand, ' part ', p_partkey, '.')) AS c, lower(p_type) AS e, p_size FROM part), x AS (SELECT {', '.join(_FIXES)} FROM nation JOIN part ON p_partkey = n_nationkey + 1), m AS (SELECT seq, p_partkey, p_size, old, count(*) OVER (PARTITION BY seq) AS n FROM x JOIN p ON contains(c, lower(country)) AND contains(e, lower(event)))
+SELECT CAST(seq AS BIGINT) AS seq, p_partkey AS row_id, '99' AS new_value FROM m WHERE n = 1 AND p_size = old""")
+def corrections_by_text_whole(spark, sf_dir):
+    """Over every part; a correction that names a part is unique, one that names a brand seldom."""
+    part = table(spark, sf_dir, "part")
+    rows = part.select("p_partkey", F.expr("concat(p_brand, ' part ', p_partkey, '.')").alias("Country"), F.col("p_type").alias("Event"), "p_size")
+    named = table(spark, sf_dir, "nation").join(part, F.col("p_partkey") == F.col("n_nationkey") + 1).selectExpr(*_FIXES)
+    fixes = named.selectExpr("bigint(seq) AS seq", "country", "event", "'p_size' AS field", "concat(' ', old) AS old_value", "'99' AS new_value", "0.9 AS confidence")
+    return C.unique_text_matches(rows, fixes, "p_partkey").select("seq", F.col("row").alias("row_id"), "new_value")
+
+
 _PHRASE = "CASE o_orderkey % 5 WHEN 0 THEN concat('figure revised to ', o_custkey) WHEN 1 THEN concat('from 10 to ', o_custkey, ' cases') WHEN 2 THEN concat('it should be ', o_custkey) WHEN 3 THEN concat('a total of ', o_custkey, ' died') ELSE 'no change' END"
 
 
