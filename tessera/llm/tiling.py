@@ -13,7 +13,8 @@ Both give the same pairs.
 
 Null and blank texts leak nothing. Items of fewer than ``LEAST`` words have no
 seed and never match. Rows repeated with the same id and text give one row;
-extra columns are ignored.
+of several texts of an item id each is searched, and the best covered one is
+reported. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -104,6 +105,16 @@ def tile_pairs(items: dict[int, np.ndarray], words: np.ndarray, candidates: list
     return out
 
 
+def best_by_item(rows: list[tuple], item_ids: dict[int, int]) -> list[tuple]:
+    """Rows of item texts as rows of item ids, the best covered text's for each."""
+    best: dict[int, tuple] = {}
+    for key, *found in rows:
+        item = item_ids[key]
+        if item not in best or (found[2], found) > (best[item][2], best[item]):
+            best[item] = found
+    return [(item, *found) for item, found in best.items()]
+
+
 RESULT = "item_id long, covered_words long, item_words long, coverage double, tiles long, longest_tile long"
 _COLUMNS = ["item_id", "covered_words", "item_words", "coverage", "tiles", "longest_tile"]
 
@@ -144,22 +155,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, max_wor
     """(doc_id, item_id, covered_words, ...) of every leak."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").groupBy("item_id").agg(F.max("text").alias("text"))
+    items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").distinct()
+    items = items.withColumn("key", F.xxhash64("item_id", "text"))  # every text of an id is searched
     size = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
     kind = docs.schema["doc_id"].dataType.simpleString()
     if size > 6 * max_words:
         return _joined_leaks(texts, items, threshold, kind)
-    index = spark.sparkContext.broadcast(SeedIndex([(r["item_id"], r["text"]) for r in items.orderBy("item_id").collect()]))
+    found_items = items.orderBy("item_id", "text").collect()
+    index = spark.sparkContext.broadcast((SeedIndex([(r["key"], r["text"]) for r in found_items]), {r["key"]: r["item_id"] for r in found_items}))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = index.value
+        table, item_ids = index.value
         for pdf in batches:
             ids, bodies, rows = pdf["doc_id"].tolist(), pdf["text"].tolist(), []
             for a, b in slices(bodies):
                 words, at = word_hashes(bodies[a:b])
                 for k, found in table.hits(words, at).items():
-                    rows += [(ids[a + k], *x) for x in tile_pairs(table.items, words[at[k] : at[k + 1]], found, threshold)]
+                    rows += [(ids[a + k], *x) for x in best_by_item(tile_pairs(table.items, words[at[k] : at[k + 1]], found, threshold), item_ids)]
             yield pd.DataFrame(rows, columns=["doc_id", *_COLUMNS])
 
     return texts.mapInPandas(scan, f"doc_id {kind}, {RESULT}").distinct()
@@ -177,16 +190,18 @@ def _joined_leaks(texts: DataFrame, items: DataFrame, threshold: float, kind: st
         return emit, f"{id_col} {id_kind}, seed long"
 
     doc_seeds = texts.mapInPandas(*seeds_of("doc_id", kind))
-    item_seeds = items.mapInPandas(*seeds_of("item_id", "long"))
-    pairs = doc_seeds.join(item_seeds, "seed").select("doc_id", "item_id").distinct()
-    both = pairs.join(texts, "doc_id").join(items.withColumnRenamed("text", "item_text"), "item_id")
+    item_seeds = items.select("key", "text").mapInPandas(*seeds_of("key", "long"))
+    pairs = doc_seeds.join(item_seeds, "seed").select("doc_id", "key").distinct()
+    both = pairs.join(texts, "doc_id").join(items.withColumnRenamed("text", "item_text"), "key")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for r in pdf.itertuples(index=False):
                 words, at = word_hashes([r.item_text, r.text])
-                rows += [(r.doc_id, *x) for x in tile_pairs({r.item_id: words[: at[1]]}, words[at[1] :], [r.item_id], threshold)]
-            yield pd.DataFrame(rows, columns=["doc_id", *_COLUMNS])
+                rows += [(r.doc_id, *x, r.text) for x in tile_pairs({r.item_id: words[: at[1]]}, words[at[1] :], [r.item_id], threshold)]
+            yield pd.DataFrame(rows, columns=["doc_id", *_COLUMNS, "text"])
 
-    return both.mapInPandas(check, f"doc_id {kind}, {RESULT}").distinct()
+    rest = ["coverage", *[c for c in _COLUMNS[1:] if c != "coverage"]]
+    best = both.mapInPandas(check, f"doc_id {kind}, {RESULT}, text string").groupBy("doc_id", "text", "item_id").agg(F.max(F.struct(*rest)).alias("best"))
+    return best.select("doc_id", "item_id", *[F.col(f"best.{c}").alias(c) for c in _COLUMNS[1:]]).distinct()

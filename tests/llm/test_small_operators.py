@@ -157,3 +157,13 @@ def test_leaks(spark, most):
     got = {(r["doc_id"], r["item_id"]): r["covered_words"] for r in tiling.leaks(docs, bench, max_words=most).collect()}
     assert got == {(1, 7): 12, (2, 7): 12}
     assert tiling.leaks(docs.limit(0), bench).count() == tiling.leaks(docs, bench.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("most", [4_000_000, 1])
+def test_every_text_of_an_item_id_is_searched(spark, most):
+    ship_package(spark)
+    first, second = " ".join(f"a{k}" for k in range(20)), " ".join(f"b{k}" for k in range(20))
+    bench = spark.createDataFrame([(1, first), (1, second), (1, second)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, first), (2, second), (3, first + " " + second[:40])], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["covered_words"]) for r in tiling.leaks(docs, bench, max_words=most).collect())
+    assert got == [(1, 1, 20), (2, 1, 20), (3, 1, 20)]
