@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,13 +16,17 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors and the driver see: spark.checkpoint.dir.
 
-    Where the session has none (a local test), a temporary one is set.
+    Where the session has none, a temporary one is set if master and executors
+    are one process (a local test); on a cluster that would be a folder of each
+    machine's own, so it is an error there.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         context = spark.sparkContext
         found = context.getCheckpointDir() if hasattr(context, "getCheckpointDir") else None
         if not found:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             found = "file://" + tempfile.mkdtemp(prefix="tessera-")
             context.setCheckpointDir(found)
     return found if "://" in found or not found.startswith("/") else f"file://{found}"
@@ -61,6 +68,55 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Returns freed memory to the machine: idle Python workers live on, and what
+    the allocator keeps for them is the next task's."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def light(work: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]):
+    """``work`` for mapInPandas that leaves no memory behind in its worker."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def by_runs(key: str, work: Callable[[pd.DataFrame], pd.DataFrame], rows: int = 30_000, weigh: str | None = None, most: int = 32 << 20):
+    """Applies ``work`` to whole runs of ``key``, a chunk of runs at a time: of
+    about ``rows`` rows, or ``most`` bytes in the column ``weigh``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n, size = [], 0, 0
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            held.append(pdf)
+            n += len(pdf)
+            size += int(pdf[weigh].str.len().sum()) if weigh else 0
+            if n >= rows or size >= most:
+                pdf = pd.concat(held, ignore_index=True)
+                whole = int((pdf[key].to_numpy() != pdf[key].iloc[-1]).sum())
+                if whole:
+                    yield work(pdf.iloc[:whole].reset_index(drop=True))
+                rest = pdf.iloc[whole:]
+                held, n, size = [rest], len(rest), int(rest[weigh].str.len().sum()) if weigh else 0
+        if n:
+            yield work(pd.concat(held, ignore_index=True))
+
+    return light(run)
+
+
 def bounded_batches(spark: SparkSession, size: int = 4 << 20) -> None:
     """Arrow batches bounded by bytes, so that long texts fit and short rows come
     many at a time; a smaller setting is kept."""

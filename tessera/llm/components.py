@@ -7,7 +7,7 @@ count and a checksum reaches the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import staged
@@ -20,19 +20,15 @@ def _mark(edges: DataFrame) -> tuple:
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (u, v); root is the least node."""
-    e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
-    e = staged(e, "edges")
-    before = _mark(e)
+    e = staged(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges")
+    before, least = _mark(e), F.min("v").over(Window.partitionBy("u"))
     while before[0]:
-        both = e.union(e.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        e = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        least = e.groupBy("u").agg(F.min("v").alias("m"))
-        near = e.join(least, "u")
-        e = near.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").union(near.select("u", F.col("m").alias("v"))).distinct()
-        e = staged(e, "edges")
+        both = e.union(e.select("v", "u")).withColumn("m", F.least(least, "u"))
+        large = both.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        near = large.withColumn("m", least)
+        e = staged(near.select(F.explode(F.array("v", "u")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct(), "edges")
         now = _mark(e)
         if now == before:
             break
         before = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select(F.col("v"), F.col("v")).distinct())
+    return e.select(F.explode(F.array("u", "v")).alias("node"), F.col("v").alias("root")).distinct()
