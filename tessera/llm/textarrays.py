@@ -1,14 +1,19 @@
 """Whole batches of texts as arrays: word hashes and shingles without a loop.
 
-A word is a maximal run of ASCII letters and digits and of any non-ASCII
-characters, of the lower-cased text. Its hash is a polynomial of its bytes
+A word is a maximal run of letters, digits and marks of the lower-cased text:
+ASCII signs, and signs and blanks of the blocks in ``_SIGNS``, divide words. Its
+hash is a polynomial of its bytes
 modulo 2**64, from one running sum over the batch, mixed at the end.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
+#: Latin-1 signs, general punctuation, currency, arrows to symbols, CJK and full-width punctuation.
+_SIGNS = re.compile("[\x80-\xa9\xab-\xb4\xb6-\xb9\xbb-\xbf\xd7\xf7\u2000-\u206f\u20a0-\u20cf\u2190-\u2bff\u3000-\u3004\u3008-\u3020\u3030\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _SEED = np.random.default_rng(20240229)
 _BYTE = _SEED.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -40,9 +45,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def plain(text: str) -> str:
+    """Lower case, with signs beyond ASCII as blanks."""
+    text = text.lower()
+    return text if text.isascii() else _SIGNS.sub(" ", text)
+
+
 def joined(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """All texts' bytes, each text followed by a newline, and where each starts."""
-    parts = [(t.lower() if lower else t).encode("utf-8", "surrogatepass") for t in texts]
+    parts = [(plain(t) if lower else t).encode("utf-8", "surrogatepass") for t in texts]
     starts = np.zeros(len(parts) + 1, dtype=np.int64)
     np.cumsum([len(p) + 1 for p in parts], out=starts[1:])
     return np.frombuffer(b"\n".join(parts) + b"\n", dtype=np.uint8), starts
