@@ -10,9 +10,12 @@ conversation gets no spans.
 texts reversibly: the escape character itself is doubled, then each control
 string gets one after its first character.
 
-Null text is empty, a null role ``null``. Turns are ordered by number, equal
-numbers by role and text. A conversation is rendered in one task; each turn is
-read once, and a prefix costs its own length. Empty tables give no rows.
+Null text is empty, a null role ``null``, a null conversation id one
+conversation. Turns are ordered by number, equal numbers by role and text,
+repeated rows are turns of their own. A conversation is one string, rendered in
+one task; ``TaggedTemplate`` keeps its last rendering, so that a prefix that
+extends it costs the new turn, a comparison and a copy. Extra columns are
+ignored. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import bounded_batches, by_runs, light
+
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
@@ -56,13 +61,18 @@ class TaggedTemplate:
     OPEN, CLOSE, END = "[INST] ", " [/INST]", "</s>"
     MARKS = ("[INST]", "[/INST]", "</s>", "<<", ">>")
 
+    #: The escape character, and each mark's first character where the mark stands.
+    SPECIAL = re.compile(r"\\|\[(?=/?INST\])|<(?=<|/s>)|>(?=>)")
+
+    def __init__(self) -> None:
+        self.last: tuple[list[Turn], str] = ([], "")
+
     def escape(self, text: str) -> str:
-        text = text.replace(self.ESCAPE, self.ESCAPE * 2)
-        for mark in self.MARKS:
-            text = re.sub(f"{re.escape(mark[0])}(?={re.escape(mark[1:])})", mark[0] + self.ESCAPE * 2, text)
-        return text
+        return self.SPECIAL.sub(lambda m: m[0] + self.ESCAPE, text)
 
     def unescape(self, text: str) -> str:
+        if self.ESCAPE not in text:
+            return text
         out, k = [], 0
         while k < len(text):
             at = text.find(self.ESCAPE, k)
@@ -89,7 +99,12 @@ class TaggedTemplate:
         return head + self.escape(text) + tail
 
     def __call__(self, turns: list[Turn]) -> str:
-        return "".join(self.turn(r, t) for r, t in turns)
+        known, text = self.last
+        if not known or turns[: len(known)] != known:
+            known, text = [], ""
+        text += "".join(self.turn(r, t) for r, t in turns[len(known) :])
+        self.last = (turns, text)
+        return text
 
     def read_turn(self, span: str) -> tuple[Turn, tuple[int, int]]:
         """(role, text) of a turn's span, and where its escaped text lies in it."""
@@ -111,30 +126,41 @@ def format_conversations(conversations: DataFrame, template: TaggedTemplate | No
     texts alone.
     """
     template = template or TaggedTemplate()
-    kind = conversations.schema["conv_id"].dataType.simpleString()
-    turns = conversations.select("conv_id", F.col("turn"), F.coalesce(F.col("role").cast("string"), F.lit("null")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["turn", "role", "text"], kind="stable")
-        done = render_incrementally(template, list(zip(pdf["role"], pdf["text"])))
-        loss = []
-        for a, b in done.spans:
-            (role, _), (x, y) = template.read_turn(done.text[a:b])
-            if role == "assistant":
-                loss.append([a + x, a + y])
-        return pd.DataFrame({"conv_id": [pdf["conv_id"].iloc[0]], "formatted": [done.text], "spans": [[list(s) for s in done.spans]], "loss_spans": [loss], "rewrites": [done.rewrites]})
-
-    return turns.groupBy("conv_id").applyInPandas(one, f"conv_id {kind}, formatted string, spans array<array<long>>, loss_spans array<array<long>>, rewrites boolean")
+    bounded_batches(conversations.sparkSession)
+    text = lambda c, other: F.coalesce(F.col(c).cast("string"), F.lit(other)).alias(c)
+    turns = conversations.select(F.col("conv_id").cast("string").alias("conv_id"), "turn", text("role", "null"), text("text", ""))
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        convs, roles, texts = (pdf[c].tolist() for c in ("conv_id", "role", "text"))
+        rows, a = [], 0
+        while a < len(convs):
+            b = a + 1
+            while b < len(convs) and convs[b] == convs[a]:
+                b += 1
+            done, loss = render_incrementally(template, list(zip(roles[a:b], texts[a:b]))), []
+            for x, y in done.spans:
+                (role, _), (p, q) = template.read_turn(done.text[x:y])
+                if role == "assistant":
+                    loss.append([x + p, x + q])
+            rows.append((convs[a], done.text, [list(s) for s in done.spans], loss, done.rewrites))
+            a = b
+        return pd.DataFrame(rows, columns=["conv_id", "formatted", "spans", "loss_spans", "rewrites"])
+
+    ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").drop("turn")
+    schema = "conv_id string, formatted string, spans array<array<long>>, loss_spans array<array<long>>, rewrites boolean"
+    formatted = ordered.mapInPandas(by_runs("conv_id", whole, 4000, "text", 4 << 20), schema)
+    return formatted.withColumn("conv_id", F.col("conv_id").cast(conversations.schema["conv_id"].dataType))
 
 
 def read_back(formatted: DataFrame, template: TaggedTemplate | None = None) -> DataFrame:
-    """Digests of what the formatted text itself says about its turns."""
+    """Digests of what the formatted text itself says about its turns, and
+    whether the template rewrote history (then there are no turns to read)."""
     template = template or TaggedTemplate()
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for conv, text, spans, loss in zip(pdf["conv_id"], pdf["formatted"], pdf["spans"], pdf["loss_spans"]):
+            for conv, text, spans, loss, rewrites in zip(pdf["conv_id"], pdf["formatted"], pdf["spans"], pdf["loss_spans"], pdf["rewrites"]):
                 whole, under, n = hashlib.sha256(), hashlib.sha256(), 0
                 for a, b in spans:
                     (role, said), _ = template.read_turn(text[a:b])
@@ -143,8 +169,10 @@ def read_back(formatted: DataFrame, template: TaggedTemplate | None = None) -> D
                     said = template.unescape(text[a:b])
                     n += len(said)
                     under.update(said.encode())
-                rows.append((conv, len(spans), whole.hexdigest(), n, under.hexdigest(), len(text)))
-            yield pd.DataFrame(rows, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+                rows.append((conv, len(spans), whole.hexdigest(), n, under.hexdigest(), len(text), rewrites))
+            yield pd.DataFrame(rows, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "rewrites"])
 
-    kind = formatted.schema["conv_id"].dataType.simpleString()
-    return formatted.mapInPandas(digest, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    kind = formatted.schema["conv_id"].dataType
+    slim = formatted.withColumn("conv_id", F.col("conv_id").cast("string"))
+    schema = "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewrites boolean"
+    return slim.mapInPandas(light(digest), schema).withColumn("conv_id", F.col("conv_id").cast(kind))
