@@ -7,9 +7,10 @@ block in memory, whatever the archive's length.
 
 Of records with equal payloads of at least ``min_bytes`` bytes the one with the
 largest page id is written as a response, the others as revisits of it. A null
-or empty html is an empty payload. Rows repeated with the same page id and
-payload are equal responses. Extra columns are ignored. An empty table writes
-no record.
+or empty html is an empty payload. A page without an id is always a response.
+Rows repeated with the same page id and payload are equal records. A payload is
+held whole by the task that writes or reads it. Extra columns are ignored. An
+empty table writes no record.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bounded_batches, staged, staging_path
+from tessera.llm.common import bounded_batches, light, staged, staging_path
 
 BLOCK = 1 << 16
 
@@ -48,11 +49,15 @@ def one_line(value: object) -> str:
     return " ".join(str(value).split())
 
 
-def page_record(page_id: int, url: str | None, payload: bytes, refers_to: int | None, date: str = "1970-01-01T00:00:00Z") -> bytes:
+def page_urn(page_id: object) -> str:
+    return f"<urn:page:{'' if page_id is None else page_id}>"
+
+
+def page_record(page_id: object, url: str | None, payload: bytes, refers_to: object, date: str = "1970-01-01T00:00:00Z") -> bytes:
     kind = "response" if refers_to is None else "revisit"
     headers = [
         ("WARC-Type", kind),
-        ("WARC-Record-ID", f"<urn:page:{page_id}>"),
+        ("WARC-Record-ID", page_urn(page_id)),
         ("WARC-Date", date),
         ("WARC-Target-URI", one_line(url or "urn:none")),
         ("WARC-Payload-Digest", digest_label(payload)),
@@ -61,7 +66,7 @@ def page_record(page_id: int, url: str | None, payload: bytes, refers_to: int |
         return record([*headers, ("Content-Type", "text/html; charset=utf-8"), ("WARC-Block-Digest", digest_label(payload))], payload)
     length = ("X-Payload-Length", str(len(payload)))
     profile = ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-    return record([*headers, profile, ("WARC-Refers-To", f"<urn:page:{refers_to}>"), length], b"")
+    return record([*headers, profile, ("WARC-Refers-To", page_urn(refers_to)), length], b"")
 
 
 def members(blocks: Iterable[bytes]) -> Iterator[bytes]:
@@ -114,17 +119,20 @@ def with_revisits(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
     body = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     slim = pages.select("page_id", F.sha1(body).alias("digest"), F.octet_length(body).alias("n")).filter(F.col("n") >= min_bytes)
     groups = slim.groupBy("digest", "n").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least")).filter("least < refers_to")
+    # Written first, so that the pages of a hot payload can be split between tasks.
+    groups = staged(groups.drop("least"), "payloads")
     revisits = slim.join(groups, ["digest", "n"]).filter("page_id < refers_to").select("page_id", "digest", "refers_to").distinct()
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), body.alias("body"), F.sha1(body).alias("digest"))
     return rows.join(revisits, ["page_id", "digest"], "left").select("page_id", "url", "body", "refers_to")
 
 
-def write_archives(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
+def write_archives(pages: DataFrame, min_bytes: int = 1000, max_archive: int = 1 << 30) -> DataFrame:
     """Writes the archives and returns (path, records), one row per file.
 
     A file gets a name of its own per attempt and moves into place when it is
     whole, and only files named by a finished task are listed, so a lost
-    executor leaves no half archive behind.
+    executor leaves no half archive behind. A task begins another file once one
+    has ``max_archive`` bytes.
     """
     spark = pages.sparkSession
     folder = staging_path(spark, "warc")
@@ -134,46 +142,59 @@ def write_archives(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
 
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
-        name, n, out = f"{uuid.uuid4().hex}.warc.gz", 0, None
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                out = out or store.open_output_stream(f"{base}/_{name}", compression=None)
-                refers = None if pd.isna(row.refers_to) else int(row.refers_to)
-                out.write(page_record(row.page_id, row.url, row.body, refers))
-                n += 1
-        if out:
+        name, n, size, out = "", 0, 0, None
+
+        def closed() -> pd.DataFrame:
             out.close()
             store.move(f"{base}/_{name}", f"{base}/{name}")
-            yield pd.DataFrame({"path": [f"{folder}/{name}"], "records": [n]})
+            return pd.DataFrame({"path": [f"{folder}/{name}"], "records": [n]})
+
+        for pdf in batches:
+            for page_id, url, body, refers_to in zip(*(pdf[c].tolist() for c in ("page_id", "url", "body", "refers_to"))):
+                if out is None:
+                    name, n, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0
+                    out = store.open_output_stream(f"{base}/_{name}", compression=None)
+                member = page_record(page_id, url, body, refers_to)
+                out.write(member)
+                n, size = n + 1, size + len(member)
+                if size >= max_archive:
+                    yield closed()
+                    out = None
+        if out is not None:
+            yield closed()
 
     bounded_batches(spark)
-    return staged(with_revisits(pages, min_bytes).mapInPandas(write, "path string, records long"), "warc-files")
+    # Ids pass as strings: pandas would make nullable longs floats.
+    rows = with_revisits(pages, min_bytes)
+    rows = rows.select(F.col("page_id").cast("string").alias("page_id"), "url", "body", F.col("refers_to").cast("string").alias("refers_to"))
+    return staged(rows.mapInPandas(light(write), "path string, records long"), "warc-files")
 
 
-def read_archives(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """One row per record of the archives that ``files.path`` names."""
+def read_archives(spark: SparkSession, files: DataFrame, id_type: str = "long") -> DataFrame:
+    """One row per record of the archives that ``files.path`` names, a task per
+    archive. A response's payload digest is computed, and must be its header's."""
 
-    def page(name: str | None) -> int | None:
-        return int(name.rpartition(":")[2].rstrip(">")) if name else None
+    def page(name: str | None) -> str | None:
+        return (name.rpartition(":")[2].rstrip(">") or None) if name else None
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path in pdf["path"]:
-                rows = []
+                rows, size = [], 0
                 for headers, block in read_records(file_blocks(path)):
-                    sha1 = base64.b32decode(headers["warc-payload-digest"].partition(":")[2]).hex()
+                    label = headers["warc-payload-digest"]
+                    if headers["warc-type"] == "response" and label != digest_label(block):
+                        raise WarcError(f"{headers.get('warc-record-id')}: the payload's digest differs")
                     n = int(headers.get("x-payload-length", len(block)))
-                    rows.append((page(headers["warc-record-id"]), headers.get("warc-target-uri"), n, sha1, headers["warc-type"], page(headers.get("warc-refers-to")), block))
-                    if len(rows) >= 256:
-                        yield frame(rows)
-                        rows = []
+                    rows.append((page(headers["warc-record-id"]), headers.get("warc-target-uri"), n, base64.b32decode(label.partition(":")[2]).hex(), headers["warc-type"], page(headers.get("warc-refers-to")), block))
+                    size += len(block)
+                    if len(rows) >= 1024 or size >= 4 << 20:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows, size = [], 0
                 if rows:
-                    yield frame(rows)
-
-    def frame(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
-        out["refers_to"] = out["refers_to"].astype("Int64")
-        return out
+                    yield pd.DataFrame(rows, columns=columns)
 
-    schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
-    return files.select("path").repartition("path").mapInPandas(read, schema)
+    columns = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
+    schema = "page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, payload binary"
+    found = files.select("path").repartition(max(1, files.count())).mapInPandas(light(read), schema)
+    return found.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
