@@ -1,12 +1,16 @@
 """Document fingerprints by winnowing, in DataFrame expressions alone.
 
-Tokens are runs of at most ``TOKEN`` characters other than white space. Every
-run of K tokens is hashed; of each window of W such hashes the least is kept,
-the rightmost of equal ones, with its position. Two texts that share K + W - 1
-tokens in a row share a kept hash, and what is kept depends on the window's
-content alone. A text with fewer than K tokens has one hash of them all, one
-with fewer than W hashes is one window, and a blank text has an empty
-fingerprint.
+Tokens are words between white space; of scripts written without it (Han, kana,
+Thai, Lao, Burmese, Khmer) each character is one, and a run of more than
+``TOKEN`` characters (addresses, code, encoded data) is cut behind each of
+``CUT``, so its tokens depend on what they hold and an insertion moves none of
+those behind it. Only a stretch of 64 characters without one of these is cut by
+its length. Every run of K tokens is hashed; of each window of W such hashes the
+least is kept, the rightmost of equal ones, with its position. Two texts that
+share K + W - 1 tokens in a row share a kept hash, and what is kept depends on
+the window's content alone. A text with fewer than K tokens has one hash of them
+all, one with fewer than W hashes is one window, and a blank text has an empty
+fingerprint. Long texts are whole; columns other than id and text are ignored.
 
 A kept entry is one long: the hash's upper 41 bits, below them the position
 counted down (modulo 2**23) so that the least entry is the rightmost.
@@ -24,6 +28,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K, W, TOKEN = 4, 8, 16
+CUT = "aeiou02468./_&=-"
+_UNSPACED = "\\u0e00-\\u0eff\\u1000-\\u109f\\u1780-\\u17ff\\u3040-\\u30ff\\u3400-\\u9fff\\uf900-\\ufaff\\x{20000}-\\x{3ffff}"
+_RUN = f"[^\\s{_UNSPACED}]"
+_TOKENS = f"{_RUN}{{1,{TOKEN}}}(?!{_RUN})|[{_UNSPACED}]|{_RUN}{{0,63}}?[{CUT}]|{_RUN}{{64}}|{_RUN}+"
 PLACE = 23
 _MASK = (1 << PLACE) - 1
 
@@ -31,7 +39,7 @@ _MASK = (1 << PLACE) - 1
 def fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` with ``out``: the kept entries of ``text`` in order."""
     h, g, m = f"_{out}_h", f"_{out}_g", f"_{out}_m"
-    df = df.withColumn(h, F.expr(f"transform(regexp_extract_all({text}, '\\\\S{{1,{TOKEN}}}', 0), t -> xxhash64(t))"))
+    df = df.withColumn(h, F.transform(F.regexp_extract_all(F.col(text), F.lit(_TOKENS), F.lit(0)), lambda t: F.xxhash64(t)))
     step, grams = 1, h
     while step < K:  # hashes of 2, 4, ... tokens from two neighbouring halves
         name = f"{g}{step}"

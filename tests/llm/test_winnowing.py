@@ -32,3 +32,16 @@ def test_kept_hashes_are_rightmost_minima_of_every_window(spark):
 
 def test_empty_table(spark):
     assert winnowing.fingerprints_with_edits(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_an_insertion_moves_no_token_of_unspaced_text(spark):
+    import random
+
+    r = random.Random(2)
+    han = "".join(chr(r.randrange(0x4E00, 0x9000)) for _ in range(600))
+    code = "".join(r.choice("abcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(900))
+    rows = [(1, han), (2, "一" + han), (3, code), (4, "q" + code)]
+    docs = winnowing.fingerprint(spark.createDataFrame(rows, "doc_id long, text string"), "text", "kept")
+    sets = {x["doc_id"]: set(x["h"]) for x in docs.select("doc_id", winnowing.hashes("kept").alias("h")).collect()}
+    for a, b in ((1, 2), (3, 4)):
+        assert len(sets[a]) > 10 and len(sets[a] & sets[b]) >= 0.9 * len(sets[a] | sets[b])
