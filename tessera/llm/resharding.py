@@ -4,13 +4,16 @@ Every old shard is seen as a fixed number of blocks (slices of its rows by a
 hash of the id), so what the driver plans with has ``old * slices`` rows for
 any input. A minimum-cost flow from the old shards' sizes to the new
 capacities says how many bytes each pair of shards exchanges; bytes that stay
-cost nothing, so the fewest bytes move. Blocks are then chosen for each flow,
-and the files of every shard that gains or loses a block are rewritten.
+cost nothing, so the fewest bytes move. Blocks are then chosen for each flow.
+The old shards are those that a hash of the id deals rows to; the rows are read
+once, from the table, and written once, to the files of their new shard.
 
 Law ``bytes``: the new shards' sizes are near equal (a row's size is its UTF-8
 bytes plus a fixed overhead). A null text has size ``overhead`` and is written
-as null. Repeated rows (also of one id) share a block. Extra columns are
-written along unchanged. An empty table gives an empty layout.
+as null. Repeated rows (also of one id, or without one) share a block. A text of
+any length is one row. Extra columns are written along unchanged; where one is
+called shard, the files are partitioned by ``shard_`` (``fresh``). An empty
+table gives an empty layout.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tessera.llm.common import staging_path
+from tessera.llm.common import fresh, staging_path
 
 OVERHEAD = 16
 
@@ -159,43 +162,47 @@ def old_place(id_col: str, old_shards: int, slices: int):
 
 
 def reshard(
-    docs: DataFrame, new_shards: int = 40, old_shards: int = 32, slices: int = 256, id_col: str = "doc_id", text_col: str = "text", rows_per_file: int = 200_000
-) -> tuple[str, DataFrame]:
-    """Plans the moves and rewrites the shards' files below the shared folder.
-
-    Returns the folder, partitioned by ``shard``, and the moves that were made
-    as rows (old shard, block, new shard, bytes).
+    docs: DataFrame, new_shards: int = 40, old_shards: int = 32, slices: int = 256, id_col: str = "doc_id", text_col: str = "text",
+    rows_per_file: int = 200_000, task_bytes: int = 64 << 20,
+) -> tuple[str, DataFrame]:
+    """Plans the moves and writes the new shards' files below the shared folder.
+
+    Returns the folder, partitioned by ``shard``, and where every block went as
+    rows (old shard, block, new shard, bytes, moved). A shard is written by as
+    many tasks as its planned bytes need at ``task_bytes`` each.
     """
     spark = docs.sparkSession
     shard, piece = old_place(id_col, old_shards, slices)
     found = docs.select(shard.alias("old"), piece.alias("piece"), row_size(text_col).alias("size")).groupBy("old", "piece").agg(F.sum("size").alias("size"))
     blocks = {(r["old"], r["piece"]): int(r["size"]) for r in found.collect()}  # old_shards * slices rows at most
     moves = plan_moves(blocks, old_shards, new_shards)
-    goal = [0] * (old_shards * slices)
+    goal, planned = [0] * (old_shards * slices), [0] * new_shards
     for m in moves:
         goal[m.old * slices + m.piece] = m.new
+        planned[m.new] += blocks[m.old, m.piece]
     goals = F.from_json(F.lit(str(goal)), "array<int>")
-    placed = docs.withColumn("shard", F.get(goals, shard * F.lit(slices) + piece))
-    parts = max(new_shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    salts = max(1, parts // new_shards)
+    name, task = fresh(docs, "shard"), fresh(docs, "_task")
+    salts = max(1, -(-max(planned) // task_bytes))
+    salt = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.octet_length(text_col), F.lit(7)), F.lit(salts)).cast("int")
+    placed = docs.withColumn(name, F.get(goals, shard * F.lit(slices) + piece))
+    placed = placed.withColumn(task, F.col(name) * F.lit(salts) + salt)
     path = staging_path(spark, "shards")
-    (
-        placed.repartition(parts, "shard", F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(7)), F.lit(salts)))
-        .write.option("maxRecordsPerFile", rows_per_file).partitionBy("shard").parquet(path)
-    )
-    made = spark.createDataFrame([(m.old, m.piece, m.new, blocks[m.old, m.piece]) for m in moves], "old int, piece int, new int, bytes long")
+    dealt = placed.repartitionById(new_shards * salts, task).drop(task)
+    dealt.write.option("maxRecordsPerFile", rows_per_file).partitionBy(name).parquet(path)
+    made = spark.createDataFrame([(m.old, m.piece, m.new, blocks[m.old, m.piece], m.old != m.new) for m in moves], "old int, piece int, new int, bytes long, moved boolean")
     return path, made
 
 
 def read_shards(spark: SparkSession, path: str, columns: StructType) -> tuple[DataFrame, DataFrame]:
-    """The rewritten rows with their file and place, and each file's first slot.
+    """The rewritten rows with their shard, file and place, and each file's first slot.
 
     A slot is the row's place in its file after the rows of the shard's files
     before it: no sort, and no window over a shard's rows.
     """
-    schema = StructType([*columns.fields, StructField("shard", IntegerType())])
+    name = fresh(columns, "shard")
+    schema = StructType([*columns.fields, StructField(name, IntegerType())])
     rows = spark.read.schema(schema).parquet(path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    files = rows.groupBy("shard", "_file").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("shard").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy(name, "_file").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(name).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     bases = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     return rows, bases
