@@ -7,8 +7,9 @@ by line length, is the document's quality, which a one-variable logistic fit
 brings to the scale of the labels.
 
 The field is fitted on at most about ``sample`` labelled documents chosen by a
-hash of the id (their lines inherit the document's label); scoring reads every
-line of every document. Empty and null texts are one empty line. Labels are
+hash of the id, of at most ``longest`` characters each and about ``characters``
+in all (their lines inherit the document's label); scoring reads every line of
+every document, a long one in a slice of its own. Empty and null texts are one empty line. Labels are
 never read when scoring. Null labels are ignored, repeated ones count once
 (the higher). Extra columns are ignored; an empty table gives no rows.
 """
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bounded_batches
+from tessera.llm.common import bounded_batches, light, text_or_empty
 from tessera.llm.textarrays import mix, powers, slices
 
 _CLASSES = {
@@ -134,7 +135,7 @@ class LineField:
         inner[at[1:] - 1] = False
         i = np.flatnonzero(inner)
         pair = np.exp(alpha[i][:, :, None] + couple[None] + (both[i + 1] + beta[i + 1])[:, None, :] - each[i][:, None, None])
-        return good, whole, pair.sum(axis=0), i
+        return good, whole, pair, i
 
     def raw(self, features: np.ndarray, size: np.ndarray, at: np.ndarray) -> np.ndarray:
         good = self.marginals(features @ self.weights, at)
@@ -149,12 +150,13 @@ class LineField:
 
 
 def fit_field(texts: list[str], labels: np.ndarray, rounds: int = 150, penalty: float = 1e-3) -> LineField:
-    """Maximum likelihood by Adam; a document's lines weigh one document in all."""
+    """Penalized maximum likelihood by Adam: of each document the log likelihood of
+    its lines' labels counts by one over their number, steps and lines alike."""
     if not len(texts):
         return LineField(np.zeros(line_features([""])[0].shape[1]), np.zeros((2, 2)))
     features, size, at = line_features(texts)
     per_line = np.repeat(labels, np.diff(at)).astype(float)
-    weight = np.repeat(1 / np.diff(at), np.diff(at))
+    weight = np.repeat(1 / np.diff(at), np.diff(at))  # of a line, and of the step behind it
     model = LineField(np.zeros(features.shape[1]), np.zeros((2, 2)))
     flat = np.zeros(features.shape[1] + 4)
     m, v = np.zeros_like(flat), np.zeros_like(flat)
@@ -164,11 +166,10 @@ def fit_field(texts: list[str], labels: np.ndarray, rounds: int = 150, penalty:
         slope = features.T @ ((good - per_line) * weight) / len(texts)
         state = per_line[inner].astype(int)
         seen = np.zeros((2, 2))
-        np.add.at(seen, (state, state), 1)
-        grad = np.concatenate((slope, ((pair - seen) / max(1, len(inner))).ravel())) + penalty * flat
+        np.add.at(seen, (state, state), weight[inner])
+        grad = np.concatenate((slope, ((pair * weight[inner][:, None, None]).sum(axis=0) - seen).ravel() / len(texts))) + penalty * flat
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         flat = flat - 0.1 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
-        flat[-4:] = np.clip(flat[-4:], -1.5, 1.5)
     model.weights, model.couple = flat[:-4].copy(), flat[-4:].reshape(2, 2).copy()
     raw = np.clip(model.raw(features, size, at), 1e-6, 1 - 1e-6)
     x, a, b = np.log(raw / (1 - raw)), 1.0, 0.0
@@ -182,14 +183,16 @@ def fit_field(texts: list[str], labels: np.ndarray, rounds: int = 150, penalty:
     return model
 
 
-def learn_field(docs: DataFrame, labels: DataFrame, use: Column, sample: int = 3000) -> LineField:
+def learn_field(docs: DataFrame, labels: DataFrame, use: Column, sample: int = 3000, characters: int = 20_000_000, longest: int = 200_000) -> LineField:
     """Fits on the labelled documents of ``use``; the driver gets the sample alone."""
     known = labels.filter(use & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
-    n = known.count()
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) / F.lit(float(1 << 20)) < F.lit(min(1.0, sample / max(1, n)))
-    rows = docs.filter(use & draw).select("doc_id", "text").join(known.filter(draw), "doc_id").select("doc_id", "text", "label").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
-    return fit_field([r["text"] or "" for r in rows], np.array([r["label"] for r in rows], dtype=float))
+    texts = docs.filter(use).select("doc_id", text_or_empty().alias("text")).filter(F.length("text") <= longest).join(known, "doc_id")
+    n, size = texts.agg(F.count("*"), F.sum(F.length("text"))).first()
+    share = min(1.0, sample / max(1, n), characters / max(1, size or 0))
+    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) / F.lit(float(1 << 20)) < F.lit(share)
+    rows = texts.filter(draw).select("doc_id", "text", "label").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
+    return fit_field([r["text"] for r in rows], np.array([r["label"] for r in rows], dtype=float))
 
 
 def score_documents(docs: DataFrame, field: LineField) -> DataFrame:
@@ -197,8 +200,9 @@ def score_documents(docs: DataFrame, field: LineField) -> DataFrame:
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": field.score([t or "" for t in pdf["text"]])})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": field.score(pdf["text"].tolist())})
 
     bounded_batches(docs.sparkSession)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(score, f"doc_id {kind}, score double")
+    # Ids pass as strings: pandas would make nullable longs floats.
+    slim = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_or_empty().alias("text"))
+    return slim.mapInPandas(light(score), "doc_id string, score double").withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
