@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bounded_batches, by_runs, discard, light, staged, text_or_empty
+from tessera.llm.common import bounded_batches, by_runs, discard, light, scratch, staged, text_or_empty
 from tessera.llm.components import connected_components
 from tessera.llm.textarrays import mix, shingles, slices
 
@@ -378,8 +378,15 @@ def verified(cells: DataFrame, threshold: float) -> DataFrame:
 def classes(docs: DataFrame, threshold: float = 0.8, recall: float = 1 - 1e-7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, key, class_id, class_key, n_links, n_text_links) per row; the row
     of its class's least id and key stands for the class."""
+    rows = staged(set_nodes(docs, id_col, text_col), "sets", keep=True)
+    with scratch(docs.sparkSession):
+        known = class_nodes(docs, rows, threshold, recall, id_col, text_col)
+    return rows.select("doc_id", "key", "node").join(known, "node").drop("node")
+
+
+def class_nodes(docs: DataFrame, rows: DataFrame, threshold: float, recall: float, id_col: str, text_col: str) -> DataFrame:
+    """(node, class_id, class_key, n_links, n_text_links) of every set."""
     slack = 5 * (threshold * (1 - threshold) / WIDTH) ** 0.5
-    rows = staged(set_nodes(docs, id_col, text_col), "sets")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("f")
     nodes = rows.groupBy("node").agg(least, F.count("*").alias("weight"), F.max("n").alias("n"), F.max("emb").alias("emb"))
     nodes = staged(nodes.select("node", F.col("f.doc_id").alias("first"), F.col("f.key").alias("first_key"), "weight", "n", "emb"), "nodes")
@@ -427,8 +434,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, recall: float = 1 - 1e-7, i
         F.coalesce("set_links", F.lit(0)).alias("n_text_links"),
     )
     # Written first, so that the rows of a hot set can be split between tasks.
-    known = staged(known, "known")
-    return rows.select("doc_id", "key", "node").join(known, "node").drop("node")
+    return staged(known, "known", keep=True)
 
 
 def chosen_path_join(docs: DataFrame, threshold: float = 0.8, recall: float = 1 - 1e-7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

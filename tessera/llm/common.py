@@ -5,12 +5,15 @@ from __future__ import annotations
 import ctypes
 import gc
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,27 +39,48 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+_open = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Deletes on leaving what was staged inside, but for what is to be kept."""
+    stack = _open.__dict__.setdefault("stack", [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        for path in stack.pop():
+            delete(spark, path)
+
+
+def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Cuts the lineage with a Parquet table in the shared folder.
 
     A lost executor then costs a reread, not a recomputation, and rows numbered
-    by partition keep their numbers.
+    by partition keep their numbers. ``keep``: a lazily read result needs it
+    beyond the innermost ``scratch``.
     """
     spark = df.sparkSession
-    path = staging_path(spark, name)
+    path, stack = staging_path(spark, name), _open.__dict__.get("stack", [])
+    owners = stack[:-1] if keep else stack
+    if owners:
+        owners[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes staged tables that later steps no longer read."""
     for df in tables:
-        spark = df.sparkSession
-        folders = {f.rpartition("/")[0] for f in df.inputFiles()}
-        for folder in folders:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            delete(df.sparkSession, folder)
 
 
 def release(spark: SparkSession) -> None:
@@ -134,3 +158,11 @@ def text_or_empty(name: str = "text"):
 
 def crc_of_id(name: str = "doc_id"):
     return F.crc32(F.col(name).cast("string").cast("binary"))
+
+
+def fresh(df: DataFrame | StructType, name: str) -> str:
+    """A column name that ``df`` does not have, whatever its letters' case."""
+    taken = {c.lower() for c in (df.names if isinstance(df, StructType) else df.columns)}
+    while name.lower() in taken:
+        name += "_"
+    return name

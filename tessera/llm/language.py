@@ -9,7 +9,8 @@ ones. The score is one less the distance as a share of the largest possible.
 Null texts and texts without a letter are ``und`` with score 0. Profiles are
 learned from at most about ``sample`` texts a language, chosen by a hash of the
 id. Repeated rows count as often as they stand there; extra columns are ignored.
-Without a learned language every text is ``und``.
+A text is counted whole, in about 60 bytes of memory a character. Without a
+learned language every text is ``und``; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bounded_batches
+from tessera.llm.common import bounded_batches, give_back, light
 
 UNKNOWN = "und"
 Profiles = dict[str, np.ndarray]
@@ -96,8 +97,13 @@ def learn_profiles(docs: DataFrame, use: Column, top: int = 300, sample: int = 2
     bounded_batches(docs.sparkSession)
     counted = rows.filter(draw < share).select("lang", "text").mapInPandas(count, "lang string, gram long, n long")
     sums = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    best = sums.groupBy("lang").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "gram"))), 1, top).alias("best"))
-    return {r["lang"]: np.array([x["gram"] for x in r["best"]], dtype=np.uint64) for r in best.collect()}
+    # A limit by rank is applied before the rows of a language meet.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram"))
+    best = sums.withColumn("place", place).filter(F.col("place") <= top).collect()
+    found: dict[str, list[tuple[int, int]]] = {}
+    for r in best:
+        found.setdefault(r["lang"], []).append((r["place"], r["gram"]))
+    return {lang: np.array([g for _, g in sorted(rows)], dtype=np.uint64) for lang, rows in found.items()}
 
 
 def sorted_profiles(profiles: Profiles) -> dict[str, tuple[np.ndarray, np.ndarray]]:
@@ -112,15 +118,14 @@ def identify(docs: DataFrame, profiles: Profiles, top: int = 300) -> DataFrame:
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [predict(t, tables, top) for t in pdf["_text"]]
-            pdf = pdf.drop(columns=["_text"])
-            pdf["lang_pred"], pdf["score"] = [x[0] for x in found], [x[1] for x in found]
-            yield pdf
+            found = [predict(t, tables, top) for t in pdf["text"]]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "lang_pred": [x[0] for x in found], "score": [x[1] for x in found]})
 
     bounded_batches(docs.sparkSession)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    slim = docs.select("doc_id", F.col("text").cast("string").alias("_text"))
-    return slim.mapInPandas(label, f"doc_id {kind}, lang_pred string, score double")
+    # Ids pass as strings: pandas would make nullable longs floats.
+    slim = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = slim.mapInPandas(light(label), "doc_id string, lang_pred string, score double")
+    return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
 def language_columns(profiles: Profiles, top: int = 300):
@@ -128,7 +133,9 @@ def language_columns(profiles: Profiles, top: int = 300):
     tables = sorted_profiles(profiles)
 
     @F.pandas_udf("lang_pred string, score double")
-    def label(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([predict(t, tables, top) for t in texts], columns=["lang_pred", "score"])
+    def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame([predict(t, tables, top) for t in texts], columns=["lang_pred", "score"])
+        give_back()
 
     return label

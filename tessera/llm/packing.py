@@ -9,9 +9,12 @@ its sequence from its rank among the remainders of its bin: no text, and no
 list of documents, reaches the driver. Offsets are running sums of the true
 lengths in a sequence, so a step costs padding, never a gap.
 
-Null and empty texts are one id (the end id). Repeated rows are packed as rows
-of their own. Columns other than id and text are ignored. An empty table packs
-into nothing.
+Null and empty texts are one id (the end id); a null id is an id like any other.
+Repeated rows are packed as rows of their own. A text of any length is whole: as
+many full sequences as it fills, and the rest. Columns other than id and text
+are ignored. An empty table packs into nothing. Should the simplex method use up
+its rounds, the patterns found so far are used and best-fit packs what is left:
+more padding, no piece lost.
 """
 
 from __future__ import annotations
@@ -25,12 +28,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bounded_batches, staged, text_or_empty
+from tessera.llm.common import bounded_batches, light, staged, text_or_empty
 
 END_ID = 0
 GRID = 4  # tokens
 FULL = 0  # the bin of full pieces
-_CACHE_WORDS = 1_000_000
+_CACHE_WORDS = 200_000
 _NO_SPLIT = re.compile(r"\s | \s")
 _engines: dict[str, "WordCachedTokenizer"] = {}
 
@@ -259,9 +262,9 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str,
             yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "bin", "part", "local_rank"])
 
     bounded_batches(docs.sparkSession)
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).mapInPandas(
-        cut, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, bin int, part int, local_rank long"
+    # Ids pass as strings: pandas would make nullable longs floats.
+    return docs.select(F.col(id_col).cast("string").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInPandas(
+        light(cut), "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, bin int, part int, local_rank long"
     )
 
 
@@ -298,7 +301,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, id_col: str
     ranked = pieces.join(bases, ["bin", "part"]).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "bin", (F.col("base") + F.col("local_rank")).alias("rank")
     )
-    kind = docs.schema[id_col].dataType.simpleString()
-    placed = ranked.mapInPandas(place, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, slot long")
+    placed = ranked.mapInPandas(light(place), "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, slot long")
+    placed = placed.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
     earlier = Window.partitionBy("sequence_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     return placed.withColumn("offset", F.coalesce(F.sum("length").over(earlier), F.lit(0))).drop("slot")
