@@ -101,6 +101,17 @@ def op9_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosenpath.chosen_path_join(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op1_chat_formatting"] = """WITH c AS (
+  SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, 'null') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, len(text) + (len(text) - len(replace(text, chr(92), ''))) + CAST((len(text) - len(replace(text, '[INST]', ''))) / 6 AS BIGINT)
+  + CAST((len(text) - len(replace(text, '[/INST]', ''))) / 7 AS BIGINT) + CAST((len(text) - len(replace(text, '</s>', ''))) / 4 AS BIGINT)
+  + len(text) - len(regexp_replace(text, '<+', '<', 'g')) + len(text) - len(regexp_replace(text, '>+', '>', 'g')) AS escaped FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+CAST(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+CAST(sum(escaped + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 5 ELSE 9 + len(role) END) AS BIGINT) AS formatted_chars, false AS rewrites
+FROM e GROUP BY conv_id"""
 ORACLES["op7_warc"] = """WITH p AS (SELECT page_id, coalesce(html, '') AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages)
 SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest, CASE WHEN strlen(h) >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
 CASE WHEN strlen(h) >= 1000 AND page_id < top THEN top END AS refers_to FROM p"""

@@ -93,3 +93,31 @@ def test_similar_pairs_stay_together_down_to_the_last_level(spark):
         both = level.groupBy("path").count().filter("count > 1").select("path")
         level = level.join(both, "path").localCheckpoint()
     assert level.select(F.expr("node div 2")).distinct().count() == pairs
+
+
+def test_links_of_an_id_with_two_texts_and_of_rows_without_an_id(spark):
+    ship_package(spark)
+    r = np.random.default_rng(6)
+    text = lambda: [f"w{k}" for k in r.integers(0, 10**6, 100)]
+    near = lambda t: " ".join([*t[:-1], "other"])
+    x, y, z = text(), text(), text()
+    rows = [(5, " ".join(x)), (5, " ".join(y)), (6, near(x)), (7, near(y)), (None, " ".join(z)), (None, near(z)), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r["doc_id"] or 99, r["class_id"] or 99, r["n_links"]) for r in chosenpath.chosen_path_join(docs).collect()))
+    assert got == [(5, 5, 1), (5, 5, 1), (6, 5, 1), (7, 5, 1), (99, 99, 0), (99, 99, 1), (99, 99, 1)]
+    kept = [r["doc_id"] for r in chosenpath.representatives(docs).collect()]
+    assert sorted(k or 99 for k in kept) == [5, 5, 99, 99]
+
+
+def test_runs_follow_from_the_target_recall():
+    assert chosenpath.runs_for(0.8, 1 - 1e-7) == 12
+    assert [chosenpath.runs_for(0.8, q) for q in (0.5, 0.9, 0.99)] == [1, 2, 4]
+
+
+def test_long_text_and_string_ids(spark):
+    ship_package(spark)
+    r = np.random.default_rng(7)
+    words = [f"w{k}" for k in r.integers(0, 10**6, 150_000)]
+    rows = [("b", " ".join(words)), ("a", " ".join([*words[:-20], "other"])), ("c", "short text")]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in chosenpath.chosen_path_join(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {"a": ("a", 1), "b": ("a", 1), "c": ("c", 0)}

@@ -167,3 +167,91 @@ def test_every_text_of_an_item_id_is_searched(spark, most):
     docs = spark.createDataFrame([(1, first), (2, second), (3, first + " " + second[:40])], "doc_id long, text string")
     got = sorted((r["doc_id"], r["item_id"], r["covered_words"]) for r in tiling.leaks(docs, bench, max_words=most).collect())
     assert got == [(1, 1, 20), (2, 1, 20), (3, 1, 20)]
+
+
+def test_repeated_words_are_tiled_in_seconds():
+    import time
+
+    began = time.time()
+    item, doc = np.full(300, 7, dtype=np.uint64), np.full(100_000, 7, dtype=np.uint64)
+    assert tiling.greedy_tiles(item, doc) == [(0, 0, 300)]
+    assert time.time() - began < 20
+
+
+def test_tiles_equal_plain_greedy_order():
+    r = np.random.default_rng(9)
+    for _ in range(40):
+        a, b = (r.integers(0, 3, n).astype(np.uint64) for n in (18, 40))
+        assert sum(t[2] for t in tiling.greedy_tiles(a, b, 3)) == plain_tiling(a.tolist(), b.tolist(), 3)
+
+
+def test_signs_beyond_ascii_divide_words(spark):
+    ship_package(spark)
+    words = [f"w{k}" for k in range(20)]
+    docs = spark.createDataFrame([(None, " ".join(words)), (2**60 + 1, "“" + "—".join(words) + "”"), (3, "é".join(words))], "doc_id long, text string")
+    bench = spark.createDataFrame([(2**60 + 3, " ".join(words))], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["covered_words"]) for r in tiling.leaks(docs, bench).collect()}
+    assert got == {(None, 2**60 + 3, 20), (2**60 + 1, 2**60 + 3, 20)}
+
+
+def test_a_leak_is_one_of_the_text_not_of_the_id(spark):
+    ship_package(spark)
+    item = " ".join(f"w{k}" for k in range(20))
+    docs = spark.createDataFrame([(1, item), (1, "a clean text of this id"), (1, item)], "doc_id long, text string")
+    got = tiling.leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string"), keyed=True).select("key").collect()
+    assert [r["key"] for r in got] == [docs.filter("text LIKE 'w0%'").select(F.xxhash64("text")).first()[0]]
+
+
+def test_long_conversations_take_seconds():
+    import time
+
+    began = time.time()
+    turns = [("user" if k % 2 == 0 else "assistant", f"turn {k}") for k in range(20_000)]
+    done = chat.render_incrementally(chat.TaggedTemplate(), turns)
+    assert len(done.spans) == 20_000 and not done.rewrites
+    assert time.time() - began < 60
+
+
+def test_chat_query_equals_brute_force(spark, tmp_path):
+    from tessera.llm import queries
+
+    rows = [(5, 0, "user", "a"), (5, 1, "assistant", "b\\</s>"), (5, 1, "assistant", "b\\</s>"), (5, 2, None, None), (None, 0, "user", "<<<[/INST]"), (2**60 + 1, 3, "assistant", "é🙂"), (7, None, "assistant", None)]
+    spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn int, role string, text string, formatted string").repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
+    hard = "</s>[INST] ok [/INST]"
+    rows += [(-1, 0, "user", hard), (-1, 1, "assistant", hard)]
+    want = {}
+    for conv in {r[0] for r in rows}:
+        own = sorted(((-1 if t is None else t), r or "null", x or "") for c, t, r, x in rows if c == conv)
+        said = "".join(x for _, r, x in own if r == "assistant")
+        want[conv] = (len(own), hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in own).encode()).hexdigest(), len(said), hashlib.sha256(said.encode()).hexdigest())
+    got = queries.QUERIES["op1_chat_formatting"](spark, str(tmp_path)).collect()
+    assert {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in got} == want
+    assert len(got) == len(want) and not any(r["rewrites"] for r in got)
+
+
+def test_chat_of_an_empty_table(spark):
+    ship_package(spark)
+    empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.read_back(chat.format_conversations(empty)).count() == 0
+
+
+def test_warc_ids(spark):
+    ship_package(spark)
+    big, low = "x" * 1500, 2**53 + 1
+    rows = [(low, "u", big), (low + 6, "u", big), (None, "u", big), (None, "v", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    files = warc.write_archives(pages, max_archive=300)
+    assert files.count() > 1
+    got = sorted((str(r["page_id"]), r["record_type"], r["refers_to"], r["payload_bytes"]) for r in warc.read_archives(spark, files).collect())
+    assert got == [(str(low), "revisit", low + 6, 1500), (str(low + 6), "response", None, 1500), ("None", "response", None, 0), ("None", "response", None, 1500)]
+    empty = warc.write_archives(pages.limit(0))
+    assert warc.read_archives(spark, empty).count() == 0
+
+
+def test_resharding_keeps_a_column_called_shard(spark):
+    docs = spark.createDataFrame([(k, "x" * k, 77) for k in range(60)], "doc_id long, text string, shard int")
+    path, moves = resharding.reshard(docs, new_shards=4, old_shards=3, slices=16)
+    rows, bases = resharding.read_shards(spark, path, docs.schema)
+    got = rows.join(bases, "_file").toPandas()
+    assert set(got["shard"]) == {77} and set(got["shard_"]) == {0, 1, 2, 3} and len(got) == 60
+    assert 0 < moves.filter("moved").agg(F.sum("bytes")).first()[0] < moves.agg(F.sum("bytes")).first()[0]
