@@ -10,8 +10,11 @@ columns of documents.
 4. decontamination drops documents into which a benchmark item leaks.
 5. packing lays what is left into sequences of 1024 tokens.
 
-Null texts are rejected by the first stage. Of rows equal in id and text one
-stays. Columns besides those of documents pass through to the last stage.
+Null texts are rejected by the first stage. A row is its id and text: of rows
+equal in both one stays, another text of an id is a document of its own, and a
+row without an id is one like any other, named after those with one. Ids are
+integers. Columns besides those of documents, whatever their names, pass
+through to the last stage. Stages of an empty table return none.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import chosenpath, language, packing, suffixes, tiling
-from tessera.llm.common import bounded_batches, staged, staging_path
+from tessera.llm.common import bounded_batches, fresh, staged, staging_path, text_or_empty
 from tessera.session import ship_package, table
 
 
@@ -30,14 +33,16 @@ BROADCAST_IDS = 1_000_000
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     bounded_batches(spark)
-    label = language.language_columns(language.learn_profiles(docs, F.lit(True)))
-    return docs.withColumn("_lang", label("text")).filter(F.col("_lang.lang_pred") != language.UNKNOWN).drop("_lang")
+    label, found = language.language_columns(language.learn_profiles(docs, F.lit(True))), fresh(docs, "_lang")
+    return docs.withColumn(found, label("text")).filter(F.col(f"{found}.lang_pred") != language.UNKNOWN).drop(found)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    kept = chosenpath.chosen_path_join(docs).filter("doc_id = class_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    own, key = fresh(docs, "_id"), fresh(docs, "_key")
+    kept = chosenpath.representatives(docs).select(F.col("doc_id").alias(own), F.col("key").alias(key))
+    same = F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64(text_or_empty()) == F.col(key))
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,10 +52,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    found = staged(tiling.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "leaks")
+    own, key = fresh(docs, "_id"), fresh(docs, "_key")
+    found = tiling.leaks(docs, table(spark, sf_dir, "benchmark"), keyed=True).select(F.col("doc_id").alias(own), F.col("key").alias(key))
+    found = staged(found.distinct(), "leaks")
     # Few documents leak: counted, they need no shuffle of the texts.
     found = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
-    return docs.join(found, "doc_id", "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64(text_or_empty()) == F.col(key))
+    return docs.join(found, same, "left_anti")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
