@@ -93,7 +93,7 @@ def recover(response: str | None) -> tuple[str, list]:
             rebuilt.append(now)
             now = {}
     rebuilt += [now] if now else []
-    return ("aggressive_repair", rebuilt) if rebuilt else ("failed", [])
+    return ("aggressive_repair", rebuilt) if rebuilt else ("no_recovery_possible", [])
 
 
 def recovered(c: Column) -> Column:

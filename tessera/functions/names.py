@@ -221,3 +221,35 @@ def bulletin_format(pages: DataFrame, doc: str = "doc_id") -> DataFrame:
         .otherwise("legacy")
     )
     return found.select(doc, kind.alias("format"))
+
+
+def not_recovered(name: Column) -> Column:
+    """Whether a name is not that of rows re-inserted by a recovery."""
+    return ~F.coalesce(name, F.lit("")).endswith("RECOVERED")
+
+
+def not_protracted(grade: Column) -> Column:
+    return ~F.coalesce(grade, F.lit("nan")).contains("Protracted")
+
+
+# Parts of model names that tell one provider's models.
+PROVIDER_PARTS = ("gpt-", "o1-", "text-davinci", "text-curie", "text-babbage", "text-ada", "code-davinci", "code-cushman", "davinci", "curie", "babbage", "ada")
+
+
+def is_providers_model(model: Column, prefix: str = "openai/", parts=PROVIDER_PARTS) -> Column:
+    low, out = F.lower(model), F.lower(model).startswith(prefix)
+    for p in parts:
+        out = out | low.contains(p)
+    return F.coalesce(out, F.lit(False))
+
+
+def model_identifier(nickname: Column, known: dict[str, str]) -> Column:
+    """The full name of a nickname, else the nickname."""
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in known.items() for x in p]), nickname), nickname) if known else nickname
+
+
+def metadata_file_name(url: Column, name: Column, week: Column, year: Column) -> Column:
+    """The catalogued file name, else one from week and year, else the url's end."""
+    tail = F.element_at(F.split(url, "/"), -1)
+    tail = F.when(tail.endswith(".pdf"), tail).otherwise(F.concat(tail, F.lit(".pdf")))
+    return F.coalesce(name, F.concat(F.lit("OEW"), F.lpad(week.cast("string"), 2, "0"), F.lit("-"), year.cast("string"), F.lit(".pdf")), tail)

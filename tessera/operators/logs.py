@@ -71,7 +71,7 @@ def numbered(rows: DataFrame, order, *tables: DataFrame, column: str = "id") ->
 def with_metrics(logs: DataFrame, updates: DataFrame, column: str = "custom_metrics") -> DataFrame:
     """The log with each row's newest metrics document from the side table
     (id, metrics, updated_at), in place of an update."""
-    newest = updates.groupBy("id").agg(F.max_by("metrics", "updated_at").alias("_new"))
+    newest = updates.groupBy("id").agg(F.max_by("metrics", F.struct("updated_at", "metrics")).alias("_new"))
     return logs.join(newest, "id", "left").withColumn(column, F.coalesce("_new", column)).drop("_new")
 
 
@@ -81,3 +81,13 @@ def lacking_metrics(logs: DataFrame, column: str = "custom_metrics", path: str =
 
 def outcome_counts(logs: DataFrame, by: str = "status") -> DataFrame:
     return logs.groupBy(by).agg(F.count("*").alias("runs"), F.coalesce(F.sum("records_extracted"), F.lit(0)).alias("records"))
+
+
+def since(logs: DataFrame, now, days: int = 7, column: str = "timestamp") -> DataFrame:
+    """Rows of the last ``days`` days before ``now`` (a column, such as current_timestamp())."""
+    return logs.filter(F.col(column) >= now - F.expr(f"INTERVAL {days} DAYS"))
+
+
+def run_id():
+    """The seconds since 1970 at which a query runs."""
+    return F.unix_timestamp(F.current_timestamp())

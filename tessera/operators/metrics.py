@@ -118,3 +118,21 @@ def version_matrix(pairs: DataFrame) -> DataFrame:
         F.avg("overall_accuracy_pct").alias("mean_accuracy"), F.max("overall_accuracy_pct").alias("best_accuracy"), F.count("*").alias("models"),
         F.max_by("model", F.struct("overall_accuracy_pct", "model")).alias("best_model"),
     )
+
+
+def accuracy_text(df: DataFrame, fields: tuple[str, ...], out: str = "summary") -> DataFrame:
+    """The report's text of each row of metrics (prompt_version, overall_accuracy,
+    compared, discrepant, coverage, and an accuracy per field)."""
+    line = lambda text, c, end="": F.concat(F.lit(text), F.col(c).cast("string"), F.lit(end))
+    parts = [line("Accuracy Analysis Summary (Prompt ", "prompt_version", ")"), line("   Overall Accuracy: ", "overall_accuracy", "%"), line("   Records Compared: ", "compared"), line("   Discrepant Records: ", "discrepant"), line("   Coverage Rate: ", "coverage", "%")]
+    parts += [line(f"   {f}: ", f, "%") for f in fields]
+    return df.withColumn(out, F.when(F.col("compared") == 0, "No records available for accuracy analysis.").otherwise(F.concat_ws("\n", *parts)))
+
+
+def format_counts(df: DataFrame, column: str, patterns: dict[str, str]) -> DataFrame:
+    """One row: how many values match each pattern, and how many there are."""
+    return df.agg(F.count(column).alias("n"), F.countDistinct(column).alias("n_distinct"), *[F.count(F.when(F.col(column).rlike(p), 1)).alias(k) for k, p in patterns.items()])
+
+
+def stage_averages(df: DataFrame, by: str, confidence: str, seconds: str) -> DataFrame:
+    return df.groupBy(by).agg(F.count("*").alias("n"), F.bround(F.avg(confidence), 6).alias("avg_confidence"), F.bround(F.avg(seconds), 6).alias("avg_seconds"), F.max(seconds).alias("longest"))

@@ -38,3 +38,8 @@ def table_summary(df: DataFrame, top: int = 5) -> DataFrame:
         best = df.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value").limit(top)
         counts = counts.join(best.agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "value"))).alias(f"top_{c}")))  # one-row aggregates
     return counts
+
+
+def rows_as_json(df: DataFrame, row_id: str, columns: list[str]) -> DataFrame:
+    """(row id, record): each row as a JSON document that names its row."""
+    return df.select(row_id, F.to_json(F.struct(F.col(row_id).alias("row_id"), *columns)).alias("record"))

@@ -42,18 +42,10 @@ def gap_rows(spark, sf_dir):
     return W.with_gap_rows(side_a(spark, sf_dir).select("Country", "Event", "Year", "WeekNumber", "TotalCases"))
 
 
-@register("timeline_full_outer", f"""WITH {SIDES_SQL}, l AS (SELECT Year, WeekNumber, sum(Deaths) AS x FROM side_a WHERE nk % 2 = 0 AND WeekNumber < 4 GROUP BY 1, 2), r AS (SELECT Year, WeekNumber, sum(Deaths) AS y FROM side_b WHERE nk % 2 = 0 AND WeekNumber > 1 GROUP BY 1, 2)
+@register("timeline_full_outer", f"""WITH {SIDES_SQL}, l AS (SELECT Year, WeekNumber, sum(Deaths) AS x FROM side_a GROUP BY 1, 2), r AS (SELECT Year, CASE WHEN WeekNumber = 4 THEN 5 ELSE WeekNumber END AS WeekNumber, sum(Deaths) AS y FROM side_b GROUP BY 1, 2)
 SELECT coalesce(l.Year, r.Year) AS Year, coalesce(l.WeekNumber, r.WeekNumber) AS WeekNumber, CAST(x AS DOUBLE) AS left_value, CAST(y AS DOUBLE) AS right_value, coalesce(x, -1) <> coalesce(y, -1) AS mismatch,
 coalesce(l.Year, r.Year) || '-W' || lpad(CAST(coalesce(l.WeekNumber, r.WeekNumber) AS VARCHAR), 2, '0') AS TimeLabel, coalesce(l.Year, r.Year) * 100 + coalesce(l.WeekNumber, r.WeekNumber) AS TimeOrder FROM l FULL JOIN r ON l.Year = r.Year AND l.WeekNumber = r.WeekNumber""")
 def timeline_full_outer(spark, sf_dir):
-    total = lambda df: df.filter("nk % 2 = 0").groupBy("Year", "WeekNumber").agg(F.sum("Deaths").cast("double").alias("n"))
-    return W.timeline(total(side_a(spark, sf_dir).filter("WeekNumber < 4")), total(side_b(spark, sf_dir).filter("WeekNumber > 1")), "n")
-
-
-@register("timeline_full_outer_whole", f"""WITH {SIDES_SQL}, l AS (SELECT Year, WeekNumber, sum(Deaths) AS x FROM side_a GROUP BY 1, 2), r AS (SELECT Year, CASE WHEN WeekNumber = 4 THEN 5 ELSE WeekNumber END AS WeekNumber, sum(Deaths) AS y FROM side_b GROUP BY 1, 2)
-SELECT coalesce(l.Year, r.Year) AS Year, coalesce(l.WeekNumber, r.WeekNumber) AS WeekNumber, CAST(x AS DOUBLE) AS left_value, CAST(y AS DOUBLE) AS right_value, coalesce(x, -1) <> coalesce(y, -1) AS mismatch,
-coalesce(l.Year, r.Year) || '-W' || lpad(CAST(coalesce(l.WeekNumber, r.WeekNumber) AS VARCHAR), 2, '0') AS TimeLabel, coalesce(l.Year, r.Year) * 100 + coalesce(l.WeekNumber, r.WeekNumber) AS TimeOrder FROM l FULL JOIN r ON l.Year = r.Year AND l.WeekNumber = r.WeekNumber""")
-def timeline_full_outer_whole(spark, sf_dir):
     """All rows of both sides; the second dates the last quarter one later, so periods are one-sided."""
     total = lambda df: df.groupBy("Year", "WeekNumber").agg(F.sum("Deaths").cast("double").alias("n"))
     late = F.when(F.col("WeekNumber") == 4, 5).otherwise(F.col("WeekNumber"))
@@ -82,9 +74,9 @@ def keep_first_by_key(spark, sf_dir):
     return W.keep_first(events(spark, sf_dir), ("user_id",), ("ts", "event_id")).select("user_id", "event_id", "event_type")
 
 
-@register("newest_per_type", "SELECT event_type, arg_max(event_id, ts) AS event_id, epoch_us(max(ts)) AS ts_us FROM events GROUP BY event_type")
+@register("newest_per_type", "SELECT event_type, arg_max(event_id, (ts, event_id)) AS event_id, epoch_us(max(ts)) AS ts_us FROM events GROUP BY event_type")
 def newest_per_type(spark, sf_dir):
-    return events(spark, sf_dir).groupBy("event_type").agg(F.max_by("event_id", "ts").alias("event_id"), F.unix_micros(F.max("ts").cast("timestamp")).alias("ts_us"))
+    return events(spark, sf_dir).groupBy("event_type").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"), F.unix_micros(F.max("ts").cast("timestamp")).alias("ts_us"))
 
 
 @register("carried_flag", "SELECT user_id, event_id, coalesce(max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) = 1, false) AS seen FROM events")
@@ -384,16 +376,9 @@ _WORDS = "len(list_filter(string_split_regex(line, '\\s+'), lambda w: w <> ''))"
 _NUMBERS = "len(regexp_extract_all(line, '\\b[0-9]+\\b'))"
 
 
-@register("narrative_predicates", f"""WITH l AS (SELECT doc_id, line, lower(line) AS low FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE lang = 'en'))
+@register("narrative_predicates", f"""WITH l AS (SELECT doc_id, line, lower(line) AS low FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents))
 SELECT doc_id, count(CASE WHEN length(line) >= 20 AND {_INDICATORS} >= 3 AND {_NUMBERS} <= {_WORDS} * 0.4 AND {_WORDS} >= 15 THEN 1 END) AS narrative, count(CASE WHEN length(line) >= 20 AND NOT regexp_matches(line, '\\b(Country|Event|Grade [123]|CFR|[0-9]{{1,2}}[-/]\\w{{3}}[-/][0-9]{{2,4}})\\b') AND {_NUMBERS} <= 5 AND {_LINE_WORDS} >= 2 THEN 1 END) AS narrative_lines FROM l GROUP BY doc_id""")
 def narrative_predicates(spark, sf_dir):
-    rows = T.lines(table(spark, sf_dir, "documents").filter("lang = 'en'").select("doc_id", "text"))
-    return rows.groupBy("doc_id").agg(F.count(F.when(T.is_narrative(F.col("line")), 1)).alias("narrative"), F.count(F.when(T.is_narrative_line(F.col("line")), 1)).alias("narrative_lines"))
-
-
-@register("narrative_predicates_whole", ORACLES["narrative_predicates"].replace(" WHERE lang = 'en'", ""))
-def narrative_predicates_whole(spark, sf_dir):
-    """The same over documents of every language and of none."""
     rows = T.lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.groupBy("doc_id").agg(F.count(F.when(T.is_narrative(F.col("line")), 1)).alias("narrative"), F.count(F.when(T.is_narrative_line(F.col("line")), 1)).alias("narrative_lines"))
 
@@ -550,20 +535,12 @@ def corrections_by_index(spark, sf_dir):
     return C.apply_by_index(table(spark, sf_dir, "customer"), fixes, ("c_mktsegment",), "c_custkey").select("c_custkey", "c_mktsegment")
 
 
-@register("corrections_by_text", """WITH p AS (SELECT p_partkey, p_brand AS c, p_type AS e, p_size FROM part), x AS (SELECT n_nationkey AS seq, 'brand#' || n_nationkey AS country FROM nation), m AS (SELECT seq, p_partkey, p_size, count(*) OVER (PARTITION BY seq) AS n FROM x JOIN p ON contains(lower(c), country) AND contains(lower(e), 'econ') AND p_size < 2)
-SELECT CAST(seq AS BIGINT) AS seq, p_partkey AS row_id, '99' AS new_value FROM m WHERE n = 1 AND p_size = 1""")
-def corrections_by_text(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").filter("p_size < 2").select("p_partkey", F.col("p_brand").alias("Country"), F.col("p_type").alias("Event"), "p_size")
-    fixes = table(spark, sf_dir, "nation").selectExpr("bigint(n_nationkey) AS seq", "concat('Brand#', n_nationkey) AS country", "'econ' AS event", "'p_size' AS field", "' 1' AS old_value", "'99' AS new_value", "0.9 AS confidence")
-    return C.unique_text_matches(rows, fixes, "p_partkey").select("seq", F.col("row").alias("row_id"), "new_value")
-
-
 _FIXES = ("n_nationkey AS seq", "CASE WHEN n_nationkey % 5 = 4 THEN p_brand ELSE concat('Part ', p_partkey, '.') END AS country", "substr(p_type, 1, 4) AS event", "CASE WHEN n_nationkey % 3 = 2 THEN 0 ELSE p_size END AS old")
 
 
-@register("corrections_by_text_whole", f"""WITH p AS (SELECT p_partkey, lower(concat(p_brand, ' part ', p_partkey, '.')) AS c, lower(p_type) AS e, p_size FROM part), x AS (SELECT {', '.join(_FIXES)} FROM nation JOIN part ON p_partkey = n_nationkey + 1), m AS (SELECT seq, p_partkey, p_size, old, count(*) OVER (PARTITION BY seq) AS n FROM x JOIN p ON contains(c, lower(country)) AND contains(e, lower(event)))
+@register("corrections_by_text", f"""WITH p AS (SELECT p_partkey, lower(concat(p_brand, ' part ', p_partkey, '.')) AS c, lower(p_type) AS e, p_size FROM part), x AS (SELECT {', '.join(_FIXES)} FROM nation JOIN part ON p_partkey = n_nationkey + 1), m AS (SELECT seq, p_partkey, p_size, old, count(*) OVER (PARTITION BY seq) AS n FROM x JOIN p ON contains(c, lower(country)) AND contains(e, lower(event)))
 SELECT CAST(seq AS BIGINT) AS seq, p_partkey AS row_id, '99' AS new_value FROM m WHERE n = 1 AND p_size = old""")
-def corrections_by_text_whole(spark, sf_dir):
+def corrections_by_text(spark, sf_dir):
     """Over every part; a correction that names a part is unique, one that names a brand seldom."""
     part = table(spark, sf_dir, "part")
     rows = part.select("p_partkey", F.expr("concat(p_brand, ' part ', p_partkey, '.')").alias("Country"), F.col("p_type").alias("Event"), "p_size")
@@ -643,9 +620,10 @@ def stream_keep_last(spark, sf_dir):
 def stream_windowed_counts(spark, sf_dir):
     from tessera.streaming import ingest
 
-    inbox, name = scratch(spark, "windows"), f"counts_{abs(hash(sf_dir)) % 10**8}"
+    inbox = scratch(spark, "windows")
     rows = events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
     rows.repartition(3).write.parquet(inbox)
     counts = ingest.windowed_counts(ingest.file_stream(spark, inbox, rows.schema), late="60 days")
-    counts.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name).select(F.unix_micros("window.start").alias("start_us"), "event_type", "n", F.round("total", 6).alias("total"))
+    out = scratch(spark, "counts")
+    ingest.upsert_windows(counts.selectExpr("window.start AS start", "event_type", "n", "total"), out, ["start", "event_type"]).awaitTermination()
+    return ingest.newest_windows(spark, out, ["start", "event_type"]).select(F.unix_micros("start").alias("start_us"), "event_type", "n", F.round("total", 6).alias("total"))

@@ -47,3 +47,18 @@ def current(spark: SparkSession, path: str, before: int | None = None) -> DataFr
     rows = rows if before is None else rows.filter(F.col("_version") < before)
     newest = rows.groupBy("_bucket").agg(F.max("_version").alias("_version"))
     return rows.join(F.broadcast(newest), ["_bucket", "_version"], "left_semi").drop("_version")
+
+
+def upsert_windows(counts: DataFrame, path: str, keys: list[str]) -> StreamingQuery:
+    """Writes the windows that each batch changed as a version below ``path``: the
+    result never passes through the driver."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.withColumn("_version", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_version").parquet(f"{path}/rows")
+
+    return counts.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+
+
+def newest_windows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Each window as the last batch that changed it left it."""
+    return keep_last(spark.read.parquet(f"{path}/rows"), keys, ["_version"]).drop("_version")

@@ -6,7 +6,7 @@ import os
 import pytest
 
 duckdb = pytest.importorskip("duckdb")
-from tessera.plans import catalog, operations, reconciliation  # noqa: E402, F401
+from tessera.plans import catalog, operations, reconciliation, tasks  # noqa: E402, F401
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -44,18 +44,18 @@ def test_query(spark, db, name):
 def test_timeline_takes_every_row_of_both_sides(spark):
     from tessera.plans.harness import side_a, side_b
 
-    rows = catalog.QUERIES["timeline_full_outer_whole"](spark, DATA).collect()
+    rows = catalog.QUERIES["timeline_full_outer"](spark, DATA).collect()
     for column, side in (("left_value", side_a), ("right_value", side_b)):
         assert sum(r[column] or 0 for r in rows) == side(spark, DATA).agg({"Deaths": "sum"}).first()[0]
         assert any(r[column] is None for r in rows)
 
 
 def test_text_queries_take_whole_tables(spark, tmp_path):
-    found = {r["seq"]: r["row_id"] for r in catalog.QUERIES["corrections_by_text_whole"](spark, DATA).collect()}
+    found = {r["seq"]: r["row_id"] for r in catalog.QUERIES["corrections_by_text"](spark, DATA).collect()}
     sizes = {r["p_partkey"]: r["p_size"] for r in spark.read.parquet(f"{DATA}/part.parquet").collect()}
     assert any(sizes[p] >= 2 for p in found.values())
     docs = spark.read.parquet(f"{DATA}/documents.parquet").filter("text IS NOT NULL")
-    assert catalog.QUERIES["narrative_predicates_whole"](spark, DATA).count() == docs.select("doc_id").distinct().count()
+    assert catalog.QUERIES["narrative_predicates"](spark, DATA).count() == docs.select("doc_id").distinct().count()
     nation = spark.read.parquet(f"{DATA}/nation.parquet").selectExpr("* EXCEPT (n_nationkey)", "n_nationkey + 8 AS n_nationkey")
     nation.write.parquet(str(tmp_path / "nation.parquet"))
     spark.read.parquet(f"{DATA}/orders.parquet").write.parquet(str(tmp_path / "orders.parquet"))
