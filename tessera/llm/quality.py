@@ -186,11 +186,12 @@ def fit_field(texts: list[str], labels: np.ndarray, rounds: int = 150, penalty:
 def learn_field(docs: DataFrame, labels: DataFrame, use: Column, sample: int = 3000, characters: int = 20_000_000, longest: int = 200_000) -> LineField:
     """Fits on the labelled documents of ``use``; the driver gets the sample alone."""
     known = labels.filter(use & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
-    texts = docs.filter(use).select("doc_id", text_or_empty().alias("text")).filter(F.length("text") <= longest).join(known, "doc_id")
-    n, size = texts.agg(F.count("*"), F.sum(F.length("text"))).first()
-    share = min(1.0, sample / max(1, n), characters / max(1, size or 0))
+    size = F.length(text_or_empty())
+    n, total = docs.filter(use).select("doc_id", size.alias("size")).filter(F.col("size") <= longest).join(known, "doc_id").agg(F.count("*"), F.sum("size")).first()
+    share = min(1.0, sample / max(1, n), characters / max(1, total or 0))
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) / F.lit(float(1 << 20)) < F.lit(share)
-    rows = texts.filter(draw).select("doc_id", "text", "label").collect()
+    drawn = docs.filter(use & draw & (size <= longest)).select("doc_id", text_or_empty().alias("text"))  # before the join: few texts are shuffled
+    rows = drawn.join(known.filter(draw), "doc_id").select("doc_id", "text", "label").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     return fit_field([r["text"] for r in rows], np.array([r["label"] for r in rows], dtype=float))
 
