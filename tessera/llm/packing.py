@@ -19,7 +19,6 @@ more padding, no piece lost.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,18 +32,15 @@ from tessera.llm.common import bounded_batches, light, staged, text_or_empty
 END_ID = 0
 GRID = 4  # tokens
 FULL = 0  # the bin of full pieces
-_CACHE_WORDS = 200_000
-_NO_SPLIT = re.compile(r"\s | \s")
-_engines: dict[str, "WordCachedTokenizer"] = {}
+_engines: dict[str, "FileTokenizer"] = {}
 
 
-class WordCachedTokenizer:
+class FileTokenizer:
     """The ids of a ``tokenizers`` byte-level BPE file, as little-endian bytes.
 
-    A word with its leading space is always tokenized alike, so words are kept
-    in a cache. Words not in it are merged by tiktoken over the same file's
-    vocabulary, whose ranks are the ids; texts with an added token's string go
-    to ``tokenizers`` itself. Tests hold both against each other.
+    tiktoken merges over the same file's vocabulary, whose ranks are the ids,
+    into four bytes an id; texts with an added token's string go to
+    ``tokenizers`` itself. Tests hold both against each other.
     """
 
     def __init__(self, path: str):
@@ -65,35 +61,16 @@ class WordCachedTokenizer:
         byte_of = {chr(b): b for b in raw} | {chr(256 + k): b for k, b in enumerate(rest)}
         ranks = {bytes(byte_of[c] for c in t): i for t, i in self.whole.get_vocab().items() if t not in added}
         self.engine = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.words: dict[str, bytes] = {}
-
-    def _plain(self, text: str) -> bytes:
-        return np.asarray(self.engine.encode_ordinary(text), dtype="<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
         if any(t in text for t in self.added):
             return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if _NO_SPLIT.search(text):
-            return self._plain(text)
-        first, *rest = text.split(" ")
-        words, out = self.words, [self._plain(first)] if first else []
-        if not first and not rest:
-            return b""
-        for word in rest:
-            got = words.get(word)
-            if got is None:
-                got = self._plain(" " + word)
-                if len(word) <= 40:
-                    if len(words) >= _CACHE_WORDS:
-                        words.clear()
-                    words[word] = got
-            out.append(got)
-        return b"".join(out)
-
-
-def tokenizer(path: str) -> WordCachedTokenizer:
+        return self.engine.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
+
+
+def tokenizer(path: str) -> FileTokenizer:
     if path not in _engines:
-        _engines[path] = WordCachedTokenizer(path)
+        _engines[path] = FileTokenizer(path)
     return _engines[path]
 
 

@@ -1,3 +1,4 @@
+import functools
 import zlib
 
 import numpy as np
@@ -11,10 +12,15 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = ["", None, "a", "Hello  world\n\n  x \t y", "<|endoftext|> inside", "word " * 3000, "é ü z \x85 q", " lead", "trail ", "\n", "one two three " * 341, "🙂 🙂🙂 'll don't 123 45 a1b2"]
 
 
-def reference(text):
+@functools.cache
+def whole():
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(PATH)
+
+
+def reference(text):
+    return whole().encode(text or "", add_special_tokens=False).ids
 
 
 def test_ids_are_those_of_tokenizers():
@@ -23,6 +29,19 @@ def test_ids_are_those_of_tokenizers():
         assert np.frombuffer(tok.ids(text or ""), dtype="<u4").tolist() == reference(text)
 
 
+def test_ids_of_documents_and_hostile_texts_are_those_of_tokenizers():
+    import random
+
+    import pyarrow.parquet as pq
+
+    tok, r = packing.tokenizer(PATH), random.Random(3)
+    texts = [t for t in pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist() if t]
+    alphabet = list("ab 1'\t\n\r.,\u00a0\u0085\u200b\u3000\u00e9\u4e2d\U0001f642\u0301") + ["'ll", "  ", "<|endoftext|>", " \n "]
+    texts += ["".join(r.choices(alphabet, k=r.randint(1, 60))) for _ in range(600)] + [" " * 20_000, "\n" * 20_000, "ab" * 20_000]
+    for text in texts:
+        assert np.frombuffer(tok.ids(text), dtype="<u4").tolist() == reference(text)
+
+
 def test_pieces_cover_every_id_once_and_leave_no_gap(spark):
     ship_package(spark)
     rows = [(k, TEXTS[k % len(TEXTS)], "x") for k in range(60)]
