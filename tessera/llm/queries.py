@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, chosenpath, language, packing, quality, resharding, suffixes, tiling, warc, winnowing
+from tessera.llm import chat, chosenpath, language, packing, quality, resharding, simhash, spelling, suffixes, tiling, vectorcodes, warc, winnowing
 from tessera.llm.common import crc_of_id
 from tessera.session import ship_package, table
 
@@ -120,3 +120,42 @@ CASE WHEN strlen(h) >= 1000 AND page_id < top THEN top END AS refers_to FROM p""
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), 1024)
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = vectorcodes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return rows.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Lloyd's rounds unrolled: n1, n2 ... assign, b1, b2 ... are the codebooks."""
+    nearest = """n{k} AS MATERIALIZED (SELECT x.vec_id, x.part, min((list_sum(list_transform(range(1, len(x.v) + 1), lambda i: (x.v[i] - b.v[i]) * (x.v[i] - b.v[i]))), b.entry)) AS best
+  FROM x JOIN b{k} b USING (part) GROUP BY ALL)"""
+    book = """b{n} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM b{k} b LEFT JOIN (
+  SELECT part, entry, list(c ORDER BY i) AS v FROM (SELECT n.part, n.best[2] AS entry, i, CAST(sum(x.v[i]) - (sum(x.v[i]) % count(*) + count(*)) % count(*) AS BIGINT) // count(*) AS c
+    FROM n{k} n JOIN x USING (vec_id, part), unnest(range(1, len(x.v) + 1)) u(i) GROUP BY ALL) GROUP BY ALL) m USING (part, entry))"""
+    steps = [nearest.format(k=0)]
+    for k in range(rounds):
+        steps += [book.format(k=k, n=k + 1), nearest.format(k=k + 1)]
+    return f"""WITH good AS (SELECT vec_id, label, list_transform(embedding, lambda e: CAST(floor(4096 * CAST(e AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+x AS MATERIALIZED (SELECT vec_id, part, q[part * len(q) // {parts} + 1 : (part + 1) * len(q) // {parts}] AS v FROM good, unnest(range({parts})) p(part)),
+b0 AS MATERIALIZED (SELECT part, rank - 1 AS entry, v FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id) AS rank FROM x) WHERE rank <= {entries}),
+{", ".join(steps)},
+books AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS h FROM b{rounds}),
+coded AS (SELECT vec_id, string_agg(printf('%02x', CAST(best[2] AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(best[1]) AS BIGINT) AS error FROM n{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM coded JOIN good USING (vec_id), books"""
+
+
+ORACLES["op11_vector_codes"] = _codes_sql()
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(table(spark, sf_dir, "documents"))
