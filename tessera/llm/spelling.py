@@ -8,8 +8,8 @@ shared gram, in the order from rare to common, is among the first q + 1 of each
 word, and only these grams deal words to tasks, under the key (gram, place,
 length): a word waits under its own places and length, and asks for words of its
 length and for words shorter by one, whose places may be its own or one less.
-Within a key the postings of all grams of the waiting words are merged by a
-heap, words that meet often enough are kept, and each is verified.
+Within a key the waiting words' positional pairs of letters are indexed, postings
+are merged by a heap, words that meet often enough are kept, and each is verified.
 
 A key with many waiting words is dealt over blocks of them, each of which all of
 the key's askers visit, so no task holds more than ``BLOCK`` waiting words of a
@@ -27,6 +27,8 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
+from operator import ne
 
 import numpy as np
 import pandas as pd
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import bounded_batches, by_runs, light, staged
 
-LEAST, Q, ONE_IN, TIMES = 7, 3, 31, 10
+LEAST, Q, PAIR, ONE_IN, TIMES = 7, 3, 2, 31, 10
 _RUN = re.compile(f"[A-Za-zÀ-ÿ]{{{LEAST},}}")
 #: Waiting words of a key that one task holds, characters of text looked at at
 #: once, and distinct words that a task counts before it passes them on.
@@ -92,23 +94,31 @@ def counted_words(docs: DataFrame) -> DataFrame:
     return slim.mapInPandas(light(words), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).filter("n >= 2")
 
 
-def grams(word: str) -> list[str]:
-    return [word[i : i + Q] for i in range(len(word) - Q + 1)]
+def gram_size(length: int) -> int:
+    """Grams of words that wait under ``length``: the longer, the fewer words share
+    one; at least two grams of 7 letters, or of more, outlive an edit."""
+    return min(max(Q, (length - 1) // 2), 5)
 
 
-def shared_at_least(length: int) -> int:
+def grams(word: str, size: int = Q) -> list[str]:
+    return [word[i : i + size] for i in range(len(word) - size + 1)]
+
+
+def shared_at_least(length: int, size: int) -> int:
     """Positional grams that words one edit apart share; length: of the longer one."""
-    return length - 2 * Q + 1
+    return length - 2 * size + 1
 
 
 def one_edit_apart(a: str, b: str) -> bool:
     """Exactly one code point inserted, deleted or replaced."""
     if len(a) > len(b):
         a, b = b, a
-    if a == b or len(b) - len(a) > 1:
+    if len(a) == len(b):
+        return sum(map(ne, a, b)) == 1
+    if len(b) - len(a) > 1:
         return False
-    k = next((i for i in range(len(a)) if a[i] != b[i]), len(a))
-    return a[k + (len(a) == len(b)) :] == b[k + 1 :]
+    differ = list(map(ne, a, b))
+    return True not in differ or a[(k := differ.index(True)) :] == b[k + 1 :]
 
 
 def gram_counts(words: DataFrame) -> dict[str, int]:
@@ -119,21 +129,29 @@ def gram_counts(words: DataFrame) -> dict[str, int]:
 
 
 def keyed(words: DataFrame, often: dict[str, int]) -> DataFrame:
-    """(key, asks, word, n): under which keys each word waits, and which it visits."""
-    spark = words.sparkSession
-    rank = spark.sparkContext.broadcast({g: k for k, g in enumerate(sorted(often, key=lambda g: (often[g], g)))})
+    """(key, asks, word, n): under which keys each word waits, and which it visits.
+
+    A gram is as rare as the rarest of the three letters in a row that it holds.
+    """
+    rank = words.sparkSession.sparkContext.broadcast({g: k for k, g in enumerate(sorted(often, key=lambda g: (often[g], g)))})
+
+    def rarest(word: str, size: int, order: dict[str, int]) -> list[tuple[str, int]]:
+        each = [order[g] for g in grams(word)]
+        own = sorted((min(each[i : i + size - Q + 1]), word[i : i + size], i) for i in range(len(word) - size + 1))
+        return [(gram, i) for _, gram, i in own[: size + 1]]
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         order = rank.value
         for pdf in batches:
             out = []
             for word, n in zip(pdf["word"], pdf["n"]):
-                size, own = len(word), grams(word)
-                rarest = sorted(range(len(own)), key=lambda i: (order[own[i]], i))[: Q + 1]
-                for i in rarest:
-                    out.append((f"{own[i]}{i},{size}", False, word, n))
-                    # Words of the same length wait there too: the lesser of two asks.
-                    out += [(f"{own[i]}{j},{size - 1}", True, word, n) for j in (i, i - 1) if j >= 0 and size > LEAST]
+                length = len(word)
+                size, shorter = gram_size(length), gram_size(length - 1)
+                first = rarest(word, size, order)
+                out += [(f"{gram}{i},{length}", False, word, n) for gram, i in first]
+                if length > LEAST:
+                    first = first if size == shorter else rarest(word, shorter, order)
+                    out += [(f"{gram}{j},{length - 1}", True, word, n) for gram, i in first for j in (i, i - 1) if j >= 0]
             yield pd.DataFrame(out, columns=["key", "asks", "word", "n"])
 
     return words.mapInPandas(light(deal), "key string, asks boolean, word string, n long")
@@ -155,25 +173,31 @@ def blocked(rows: DataFrame) -> DataFrame:
     return few.unionByName(dealt)
 
 
-def merged(asker: str, index: dict[tuple[str, int], list[tuple[int, int]]]) -> Iterator[tuple[int, int]]:
-    """(waiting word, number of positional grams shared with it) by a heap merge.
+def merged(asker: str, own: list[str], index: list[dict[str, list[int]]], words, least: int) -> list[int]:
+    """Waiting words that share ``least`` positional grams with ``asker``.
 
-    ``index`` has, for a gram and a place, (word, length) in the words' order.
+    ``index`` has, for each place, a gram's words in order. Words of the same
+    length share grams at the same places; of a word shorter by one those beyond
+    the edit are one place earlier. A word that is in ``least`` lists is in one
+    of all but the ``least - 1`` longest: those are merged by a heap, and words
+    that meet there are counted in the longest by a look at their letters.
     """
-    size, lists = len(asker), []
-    for i, gram in enumerate(grams(asker)):
-        for j in (i - 1, i, i + 1):
-            if postings := index.get((gram, j)):
-                lists.append(postings)
-    last, n = -1, 0
-    for k, length in heapq.merge(*lists):
-        if k != last:
-            if n >= shared_at_least(size):
-                yield last, n
-            last, n = k, 0
-        n += abs(length - size) <= 1
-    if n >= shared_at_least(size):
-        yield last, n
+    lists = [(len(postings), i, gram, postings) for i, gram in enumerate(own[: len(index)]) if (postings := index[i].get(gram))]
+    if len(own) > len(index):
+        lists += [(len(postings), i, gram, postings) for i, gram in enumerate(own[1:]) if (postings := index[i].get(gram))]
+    if len(lists) < least:
+        return []
+    lists.sort()
+    short, long = lists[: len(lists) - least + 1], [(gram, i) for _, i, gram, _ in lists[len(lists) - least + 1 :]]
+    found, last, n = [], -1, 0
+    for k in chain(heapq.merge(*[x[3] for x in short]) if len(short) > 1 else short[0][3], (-1,)):
+        if k == last:
+            n += 1
+            continue
+        if n >= least or n and n + sum([words[last].startswith(gram, i) for gram, i in long]) >= least:
+            found.append(last)
+        last, n = k, 1
+    return found
 
 
 def near_pairs(rows: DataFrame) -> DataFrame:
@@ -184,23 +208,25 @@ def near_pairs(rows: DataFrame) -> DataFrame:
         edge = np.append(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))), len(key))
         all_words, all_counts = pdf["word"].to_numpy(), pdf["n"].to_numpy()
         for a, b in zip(edge[:-1], edge[1:]):
-            # Rows that wait come before those that ask.
+            # Rows that wait come before those that ask, and all that wait are of one length.
             if b - a < 2 or every[a]:
                 continue
             words, counts = all_words[a:b], all_counts[a:b]
-            index: dict = {}
-            for k in range(b - a - int(every[a:b].sum())):
-                for i, gram in enumerate(grams(words[k])):
-                    index.setdefault((gram, i), []).append((k, len(words[k])))
+            waiting = b - a - int(every[a:b].sum())
+            index: list = [{} for _ in range(len(words[0]) - PAIR + 1)]
             for q in range(b - a):
-                for k, _ in merged(words[q], index):
-                    if one_edit_apart(words[q], words[k]):
-                        out += [(words[q], words[k], counts[k]), (words[k], words[q], counts[q])]
+                word, own = words[q], grams(words[q], PAIR)
+                for k in merged(word, own, index, words, shared_at_least(len(word), PAIR)):
+                    if one_edit_apart(word, words[k]):
+                        out += [(word, words[k], counts[k]), (words[k], word, counts[q])]
+                if q < waiting:
+                    for i, gram in enumerate(own):
+                        index[i].setdefault(gram, []).append(q)
         return pd.DataFrame(out, columns=["word", "near", "near_n"]).drop_duplicates()
 
     near = "key string, asks boolean, word string, n long"
     dealt = rows.repartition("key").sortWithinPartitions("key", "asks", "word").select(*[c.split()[0] for c in near.split(", ")])
-    return dealt.mapInPandas(by_runs("key", meet), "word string, near string, near_n long").distinct()
+    return dealt.mapInPandas(by_runs("key", meet, weigh="word"), "word string, near string, near_n long").distinct()
 
 
 def forms(words: DataFrame) -> DataFrame:

@@ -92,7 +92,6 @@ def test_the_filters_lose_no_near_word(word, place, letter, kind):
     assert spelling.one_edit_apart(word, other) == near(word, other)
     if len(other) >= 7 and other != word:
         asker, waiting = sorted((word, other), key=len, reverse=True)
-        index = {}
-        for i, g in enumerate(spelling.grams(waiting)):
-            index.setdefault((g, i), []).append((0, len(waiting)))
-        assert list(spelling.merged(asker, index))
+        size = spelling.PAIR
+        index = [{g: [0]} for g in spelling.grams(waiting, size)]
+        assert spelling.merged(asker, spelling.grams(asker, size), index, [waiting], spelling.shared_at_least(len(asker), size)) == [0]
