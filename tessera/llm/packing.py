@@ -39,8 +39,9 @@ class FileTokenizer:
     """The ids of a ``tokenizers`` byte-level BPE file, as little-endian bytes.
 
     tiktoken merges over the same file's vocabulary, whose ranks are the ids,
-    into four bytes an id; texts with an added token's string go to
-    ``tokenizers`` itself. Tests hold both against each other.
+    into four bytes an id; texts with an added token's string, and those in which
+    a run of blanks is too long for its pattern, go to ``tokenizers`` itself.
+    Tests hold both against each other.
     """
 
     def __init__(self, path: str):
@@ -65,7 +66,10 @@ class FileTokenizer:
     def ids(self, text: str) -> bytes:
         if any(t in text for t in self.added):
             return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return self.engine.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
+        try:
+            return self.engine.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
+        except ValueError:  # its pattern backtracks over about a million blanks at most
+            return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
 def tokenizer(path: str) -> FileTokenizer:

@@ -29,6 +29,13 @@ def test_ids_are_those_of_tokenizers():
         assert np.frombuffer(tok.ids(text or ""), dtype="<u4").tolist() == reference(text)
 
 
+def test_very_long_runs_of_blanks_are_encoded_as_by_tokenizers():
+    tok = packing.tokenizer(PATH)
+    for blank in (" ", "\n", "\u00a0"):
+        text = "a" + blank * 2_000_000 + "b"
+        assert np.frombuffer(tok.ids(text), dtype="<u4").tolist() == reference(text)
+
+
 def test_ids_of_documents_and_hostile_texts_are_those_of_tokenizers():
     import random
 
