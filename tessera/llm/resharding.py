@@ -1,17 +1,23 @@
 """Minimum-cost-flow resharding.
 
-Every old shard is seen as a fixed number of blocks (slices of its rows by a
-hash of the id), so what the driver plans with has ``old * slices`` rows for
-any input. A minimum-cost flow from the old shards' sizes to the new
+``reshard`` lays out a table that has no shards yet. Every old shard is seen as a
+fixed number of blocks (slices of its rows by a hash of the row's id and place),
+so what the driver plans with has ``old * slices`` rows for any input. A minimum-cost flow from the old shards' sizes to the new
 capacities says how many bytes each pair of shards exchanges; bytes that stay
 cost nothing, so the fewest bytes move. Blocks are then chosen for each flow.
-The old shards are those that a hash of the id deals rows to; the rows are read
-once, from the table, and written once, to the files of their new shard.
+The old shards are those that the hash deals rows to; the rows are read once,
+from the table, and written once, to the files of their new shard.
+
+``rebalance`` changes the number of shards of a layout that is there: its blocks
+are the files, the flow says which leave their shard, and only those are read
+and written again. All others stay as they are, with their modification times.
 
 Law ``bytes``: the new shards' sizes are near equal (a row's size is its UTF-8
 bytes plus a fixed overhead). A null text has size ``overhead`` and is written
-as null. Repeated rows (also of one id, or without one) share a block. A text of
-any length is one row. Extra columns are written along unchanged; where one is
+as null. Repeated rows, of one id or without one, are spread like others: a row's
+place in its partition is part of the hash. ``docs`` must therefore be a table
+that is read, or another frame whose partitions have the same rows in the same
+order when a task is run again. A text of any length is one row, and a block. Extra columns are written along unchanged; where one is
 called shard, the files are partitioned by ``shard_`` (``fresh``). An empty
 table gives an empty layout.
 """
@@ -19,13 +25,14 @@ table gives an empty layout.
 from __future__ import annotations
 
 import heapq
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tessera.llm.common import fresh, staging_path
+from tessera.llm.common import delete, fresh, staging_path
 
 OVERHEAD = 16
 
@@ -155,9 +162,13 @@ def row_size(text_col: str = "text"):
     return F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long") + F.lit(OVERHEAD)
 
 
-def old_place(id_col: str, old_shards: int, slices: int):
+def mixed_row(id_col: str):
+    """A hash of a row's id and place, so that equal rows are told apart."""
+    return F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.monotonically_increasing_id())
+
+
+def old_place(mixed, old_shards: int, slices: int):
     """The shard a row is in before, and its block there."""
-    mixed = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     return F.pmod(mixed, F.lit(old_shards)).cast("int"), F.pmod(F.shiftright(mixed, 20), F.lit(slices)).cast("int")
 
 
@@ -172,8 +183,10 @@ def reshard(
     many tasks as its planned bytes need at ``task_bytes`` each.
     """
     spark = docs.sparkSession
-    shard, piece = old_place(id_col, old_shards, slices)
-    found = docs.select(shard.alias("old"), piece.alias("piece"), row_size(text_col).alias("size")).groupBy("old", "piece").agg(F.sum("size").alias("size"))
+    name, task, mixed = fresh(docs, "shard"), fresh(docs, "_task"), fresh(docs, "_mixed")
+    rows = docs.withColumn(mixed, mixed_row(id_col))
+    shard, piece = old_place(F.col(mixed), old_shards, slices)
+    found = rows.select(shard.alias("old"), piece.alias("piece"), row_size(text_col).alias("size")).groupBy("old", "piece").agg(F.sum("size").alias("size"))
     blocks = {(r["old"], r["piece"]): int(r["size"]) for r in found.collect()}  # old_shards * slices rows at most
     moves = plan_moves(blocks, old_shards, new_shards)
     goal, planned = [0] * (old_shards * slices), [0] * new_shards
@@ -181,13 +194,12 @@ def reshard(
         goal[m.old * slices + m.piece] = m.new
         planned[m.new] += blocks[m.old, m.piece]
     goals = F.from_json(F.lit(str(goal)), "array<int>")
-    name, task = fresh(docs, "shard"), fresh(docs, "_task")
     salts = max(1, -(-max(planned) // task_bytes))
-    salt = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.octet_length(text_col), F.lit(7)), F.lit(salts)).cast("int")
-    placed = docs.withColumn(name, F.get(goals, shard * F.lit(slices) + piece))
+    salt = F.pmod(F.shiftright(mixed, 40), F.lit(salts)).cast("int")
+    placed = rows.withColumn(name, F.get(goals, shard * F.lit(slices) + piece))
     placed = placed.withColumn(task, F.col(name) * F.lit(salts) + salt)
     path = staging_path(spark, "shards")
-    dealt = placed.repartitionById(new_shards * salts, task).drop(task)
+    dealt = placed.repartitionById(new_shards * salts, task).drop(task, mixed)
     dealt.write.option("maxRecordsPerFile", rows_per_file).partitionBy(name).parquet(path)
     made = spark.createDataFrame([(m.old, m.piece, m.new, blocks[m.old, m.piece], m.old != m.new) for m in moves], "old int, piece int, new int, bytes long, moved boolean")
     return path, made
@@ -206,3 +218,31 @@ def read_shards(spark: SparkSession, path: str, columns: StructType) -> tuple[Da
     before = Window.partitionBy(name).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     bases = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     return rows, bases
+
+
+def rebalance(spark: SparkSession, path: str, columns: StructType, new_shards: int, text_col: str = "text") -> DataFrame:
+    """Changes the number of shards of a layout that ``reshard`` wrote, in place.
+
+    Files are the blocks: the driver holds a row a file. Files that leave their
+    shard are written into the new one by one task each, then deleted; if that
+    is cut short, rows are there twice, never lost, and the returned plan, of
+    (file, bytes, old, new, moved), names the files to delete.
+    """
+    name = fresh(columns, "shard")
+    schema = StructType([*columns.fields, StructField(name, IntegerType())])
+    rows = spark.read.schema(schema).parquet(path).withColumn("_file", F.col("_metadata.file_path"))
+    found = rows.groupBy(name, "_file").agg(F.sum(row_size(text_col)).alias("size")).orderBy(name, "_file").collect()
+    files = [(r[name], r["_file"], int(r["size"])) for r in found]
+    old_shards = 1 + max((s for s, _, _ in files), default=-1)
+    blocks = {(s, k): size for k, (s, _, size) in enumerate(files)}
+    moves = plan_moves(blocks, old_shards, new_shards) if files else []
+    gone = [(files[m.piece][1], m.new) for m in moves if m.old != m.new]
+    if gone:
+        goals = spark.createDataFrame(gone, "_file string, _goal int")
+        taken = spark.read.schema(schema).option("basePath", path).parquet(*[f for f, _ in gone]).withColumn("_file", F.col("_metadata.file_path"))
+        placed = taken.join(F.broadcast(goals), "_file").withColumn(name, F.col("_goal"))  # a row a file
+        placed.repartition(len(gone), "_file").drop("_file", "_goal").write.mode("append").partitionBy(name).parquet(path)
+        for file, _ in gone:
+            delete(spark, re.sub("^file:/+", "file:///", file))
+    plan = [(files[m.piece][1], files[m.piece][2], m.old, m.new, m.old != m.new) for m in moves]
+    return spark.createDataFrame(plan, "file string, bytes long, old int, new int, moved boolean")
