@@ -157,7 +157,8 @@ def text_or_empty(name: str = "text"):
 
 
 def crc_of_id(name: str = "doc_id"):
-    return F.crc32(F.col(name).cast("string").cast("binary"))
+    """CRC-32 of the id as text; a null id is an empty text."""
+    return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary"))
 
 
 def fresh(df: DataFrame | StructType, name: str) -> str:

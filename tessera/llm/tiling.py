@@ -159,7 +159,7 @@ def best_by_item(rows: list[tuple], item_ids: dict[int, int]) -> list[tuple]:
     return [(item, *found) for item, found in best.items()]
 
 
-RESULT = "item_id long, covered_words long, item_words long, coverage double, tiles long, longest_tile long"
+RESULT = "item_id string, covered_words long, item_words long, coverage double, tiles long, longest_tile long"
 _COLUMNS = ["item_id", "covered_words", "item_words", "coverage", "tiles", "longest_tile"]
 
 
@@ -200,7 +200,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, max_wor
     text's xxhash64 as key, which tells the texts of an id apart."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", F.col("text").cast("string").alias("text")).distinct()
+    items = benchmark.filter("text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
     items = items.withColumn("key", F.xxhash64("item_id", "text"))  # every text of an id is searched
     size = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     text, kind = F.col("text").cast("string"), docs.schema["doc_id"].dataType
@@ -224,7 +224,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, max_wor
                 yield pd.DataFrame(rows, columns=["doc_id", "key", *_COLUMNS])
 
         found = texts.mapInPandas(light(scan), f"doc_id string, key long, {RESULT}")
-    return found.withColumn("doc_id", F.col("doc_id").cast(kind)).select(columns).distinct()
+    found = found.withColumn("doc_id", F.col("doc_id").cast(kind)).withColumn("item_id", F.col("item_id").cast(benchmark.schema["item_id"].dataType))
+    return found.select(columns).distinct()
 
 
 def _joined_leaks(texts: DataFrame, items: DataFrame, threshold: float) -> DataFrame:

@@ -19,7 +19,9 @@ counted down (modulo 2**23) so that the least entry is the rightmost.
 over the whole table: ids are cut into ranges of about equal counts, the rows
 are dealt by range, and each range also gets the last row of the range below
 it. The driver holds two ids a range. Null texts are empty; of rows with one id
-the next lower in the order of text counts.
+the next lower in the order of text counts. Rows without an id come after those
+with one, whatever the ranges, by text downwards; in a table without any id no
+row has a next one.
 """
 
 from __future__ import annotations
@@ -81,7 +83,7 @@ def range_of(id_col: str, lows: list[int]) -> Column:
         mid = (a + b) // 2
         return F.when(F.col(id_col) < F.lit(lows[mid]), tree(a, mid)).otherwise(tree(mid, b))
 
-    return tree(0, len(lows))
+    return F.when(F.col(id_col).isNull(), F.lit(0)).otherwise(tree(0, len(lows)))
 
 
 def with_next(df: DataFrame, columns: list[str], id_col: str = "doc_id", ranges: int | None = None) -> DataFrame:
@@ -108,6 +110,7 @@ def fingerprints_with_edits(docs: DataFrame) -> DataFrame:
     slim = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = with_next(fingerprint(slim, "text", "kept"), ["text", "kept"])
     third = F.expr("length(text) div 3").cast("int")
+    rows = rows.withColumns({"next_text": F.coalesce("next_text", F.lit("")), "next_kept": F.coalesce("next_kept", F.array().cast("array<bigint>"))})
     rows = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, length(text) - cast(length(text) div 3 as int))"), F.substring("next_text", F.lit(1), third)))
     rows = fingerprint(rows.drop("next_text"), "edited", "edited_kept")
     return rows.select("*", hashes("kept").alias("own_set"), hashes("next_kept").alias("next_set"), hashes("edited_kept").alias("edited_set"))

@@ -16,6 +16,7 @@ def documents(seed=4):
     passage, item = text(60), text(30)
     rows += [[120 + k, text(50) + " " + passage + " " + text(50), "en", "s", 0] for k in range(3)]
     rows.append([130, text(40) + " " + item + " " + text(40), "en", "s", 0])
+    rows.append([135, text(80), None, "s", 0])
     rows += [[140, None, "en", "s", 0], [141, "12 34 !!", "en", "s", 0], [142, "", None, None, None]]
     return rows, passage, item
 
@@ -35,6 +36,7 @@ def test_stages_keep_what_they_should(spark, tmp_path):
     ids = lambda n: set(seen[n].doc_id)
     everything = {r[0] for r in rows}
     assert ids("language_id") == everything - {140, 141, 142}
+    assert set(seen["language_id"].lang) == {"en"}  # null became the prediction
     assert ids("near_duplicates") == ids("language_id") - {100, 101, 102, 110}
     assert ids("repeated_passages") == ids("near_duplicates")
     cut = seen["repeated_passages"].set_index("doc_id")

@@ -84,6 +84,46 @@ def test_resharding_slots(spark):
     assert moves.count() == 0
 
 
+@pytest.mark.parametrize("ids", ["id", "CASE WHEN id % 2 = 0 THEN id END", "7"])
+def test_resharding_keeps_its_law_for_repeated_and_null_ids(spark, ids):
+    docs = spark.range(0, 4000, 1, 3).selectExpr(f"CAST({ids} AS BIGINT) AS doc_id", "repeat('x', 124) AS text")
+    path, _ = resharding.reshard(docs)
+    rows, _ = resharding.read_shards(spark, path, docs.schema)
+    sizes = rows.groupBy("shard").agg(F.sum(resharding.row_size()).alias("size")).toPandas()["size"]
+    assert len(sizes) == 40 and sizes.sum() == 4000 * 140 and sizes.max() - sizes.min() <= 2 * 140
+
+
+def test_rebalancing_leaves_files_alone(spark):
+    import os
+
+    docs = spark.range(0, 3000, 1, 4).selectExpr("id AS doc_id", "repeat('y', 20 + id % 50) AS text")
+    path, _ = resharding.reshard(docs, new_shards=6, old_shards=6, rows_per_file=20)
+    local = path.removeprefix("file://")
+    before = {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(local) for f in names if f.endswith(".parquet")}
+    plan = resharding.rebalance(spark, path, docs.schema, 8).toPandas()
+    after = {os.path.join(d, f) for d, _, names in os.walk(local) for f in names if f.endswith(".parquet")}
+    stayed = set(plan[~plan.moved].file.str.replace("^file:/+", "/", regex=True))
+    assert stayed and stayed == {f for f in before if f in after and os.stat(f).st_mtime_ns == before[f]} == set(before) & after
+    rows, _ = resharding.read_shards(spark, path, docs.schema)
+    got = rows.select("doc_id", "text", "shard", resharding.row_size().alias("size")).toPandas()
+    assert sorted(zip(got.doc_id, got.text)) == sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    sizes, largest = got.groupby("shard")["size"].sum(), int(plan.bytes.max())
+    assert len(sizes) == 8 and sizes.max() - sizes.min() <= 2 * largest
+    # Six shards of total/6 fill eight of total/8: a quarter of the bytes must move.
+    total = int(plan.bytes.sum())
+    assert abs(int(plan[plan.moved].bytes.sum()) - total // 4) <= 12 * largest
+    assert resharding.rebalance(spark, path, docs.schema, 8).toPandas().moved.sum() == 0
+
+
+def test_leaks_of_items_without_an_id(spark):
+    ship_package(spark)
+    item = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, "x " + item), (2, "clean words only here in this text")], "doc_id long, text string")
+    for size in (4_000_000, 0):
+        found = tiling.leaks(docs, spark.createDataFrame([(None, item), (2**60 + 1, item)], "item_id long, text string"), max_words=size)
+        assert sorted((r["doc_id"], r["item_id"] or 0) for r in found.collect()) == [(1, 0), (1, 2**60 + 1)]
+
+
 def test_language(spark):
     ship_package(spark)
     said = {"en": "the quick brown fox jumps over the lazy dog and then the other one", "de": "der schnelle braune fuchs springt über den faulen hund und dann"}

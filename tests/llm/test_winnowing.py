@@ -45,3 +45,16 @@ def test_an_insertion_moves_no_token_of_unspaced_text(spark):
     sets = {x["doc_id"]: set(x["h"]) for x in docs.select("doc_id", winnowing.hashes("kept").alias("h")).collect()}
     for a, b in ((1, 2), (3, 4)):
         assert len(sets[a]) > 10 and len(sets[a] & sets[b]) >= 0.9 * len(sets[a] | sets[b])
+
+
+def test_null_ids_come_last_whatever_the_ranges(spark):
+    rows = [(1, "one " * 9), (2, "two " * 9), (3, "three " * 9), (None, "none " * 9), (None, "also " * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    order = [3, 2, 1, "none", "also"]
+    for ranges in (1, 2, 7):
+        got = winnowing.with_next(docs, ["text"], ranges=ranges).collect()
+        after = {r["doc_id"] or r["text"].split()[0]: r["next_text"].split()[0] for r in got}
+        words = {1: "one", 2: "two", 3: "three"}
+        assert [after[k] for k in order] == [words.get(k, k) for k in order[1:] + order[:1]]
+    alone = winnowing.fingerprints_with_edits(docs.filter("doc_id IS NULL")).collect()
+    assert len(alone) == 2 and all(r["edited"] is not None for r in alone)
