@@ -4,7 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as Parquet and read again as the next one's docs. All but the last return the
 columns of documents.
 
-1. language_id drops documents without a letter (``und``).
+1. language_id predicts each text's language: documents without a letter
+   (``und``) go, and a null ``lang`` becomes the prediction. A ``lang`` that is
+   there is left as it is.
 2. near_duplicates keeps of every class of similar texts the least id.
 3. repeated_passages cuts out bytes that stand in a document with a smaller id.
 4. decontamination drops documents into which a benchmark item leaks.
@@ -34,7 +36,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     bounded_batches(spark)
     label, found = language.language_columns(language.learn_profiles(docs, F.lit(True))), fresh(docs, "_lang")
-    return docs.withColumn(found, label("text")).filter(F.col(f"{found}.lang_pred") != language.UNKNOWN).drop(found)
+    told = docs.withColumn(found, label("text")).filter(F.col(f"{found}.lang_pred") != language.UNKNOWN)
+    return told.withColumn("lang", F.coalesce("lang", F.col(f"{found}.lang_pred"))).drop(found)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
