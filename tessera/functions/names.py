@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import spaces
+from tessera.operators.textmatch import contained
 
 # Event names and what they become, as published.
 EVENT_NAMES = {
@@ -126,19 +127,19 @@ def resolve_countries(df: DataFrame, known: DataFrame, column: str = "Country",
     In this order: a known name; the map; the map ignoring case; a known name
     within the text or the text (over 3 characters) within one, the longest,
     then the alphabetically first; the rules for congo and tanzania; unchanged.
-    ``known`` is a dimension of country names, whose size is checked: it is
-    broadcast up to 10,000 names.
+    Texts and known names meet through ``contained``, in both directions.
     """
     text = spaces(F.col(column))
     values = df.select(column).distinct().withColumn("_text", text)
     lower = {k.lower(): v for k, v in reversed(EXTRACTION_NAMES.items())}
     by_map = F.try_element_at(F.create_map(*[F.lit(x) for p in EXTRACTION_NAMES.items() for x in p]), "_text")
     by_case = F.try_element_at(F.create_map(*[F.lit(x) for p in lower.items() for x in p]), F.lower("_text"))
-    dim = known.select(F.col("name").alias("_name")).distinct()
-    dim = F.broadcast(dim) if dim.count() <= 10_000 else dim
-    low, name = F.lower("_text"), F.lower("_name")
-    near = low.contains(name) | (name.contains(low) & (F.length("_text") > 3))
-    found = values.join(dim, near & (F.length("_text") > 0)).groupBy(column).agg(
+    dim = known.select(F.col("name").alias("_name")).distinct().withColumn("_lname", F.lower("_name"))
+    low = F.lower("_text")
+    texts = values.filter(F.length("_text") > 0).withColumn("_low", low)
+    wider = contained(texts.select(F.col("_low").alias("text")), dim.select(F.col("_lname").alias("name"))).select(F.col("text").alias("_low"), F.col("name").alias("_lname"))
+    within = contained(dim.select(F.col("_lname").alias("text")), texts.filter(F.length("_text") > 3).select(F.col("_low").alias("name"))).select(F.col("name").alias("_low"), F.col("text").alias("_lname"))
+    found = texts.join(wider.union(within).distinct(), "_low").join(dim, "_lname").groupBy(column).agg(
         F.max_by("_name", F.when(F.col("_name") == F.col("_text"), 1)).alias("_exact"),
         F.min(F.struct(-F.length("_name"), "_name")).getField("_name").alias("_near"),
     )
