@@ -111,17 +111,44 @@ def categorized(long: DataFrame, grade_aware: bool = False) -> DataFrame:
     return out.withColumn("SubCategory", F.when(F.col("Category") == "Zero vs Non-Zero", S.zero_side(a, b)).otherwise(""))
 
 
-def weekly_summary(left: DataFrame, right: DataFrame, period=PERIOD, keys=KEYS) -> DataFrame:
+def reconciled(left: DataFrame, right: DataFrame, keys=(*PERIOD, *KEYS), values=S.COMPARED, tolerance=S.TOLERANCE, names=SIDES) -> DataFrame:
+    """Both sides in one full outer join: the keys, ``in_left`` and ``in_right``,
+    each side's values under its prefix, and a flag <value>_discrepancy each
+    (null on one-sided rows).
+
+    Equal keys pair many-to-many, so ``left_once`` and ``right_once`` mark one of
+    the rows of each record: summed, they count records. Splits, pairs, the long
+    form and all counts are filters and aggregates of this frame; each side is
+    scanned and exchanged once.
+    """
+
+    def side(df: DataFrame, prefix: str, flag: str) -> DataFrame:
+        return df.select(*[F.col(k).alias(f"_{flag}_{k}") for k in keys], *[F.col(v).alias(f"{prefix}_{v}") for v in values], F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))).alias(f"_{flag}_n"))
+
+    a, b = side(left, names[0], "l"), side(right, names[1], "r")
+    both = a.join(b, reduce(lambda x, y: x & y, [F.col(f"_l_{k}").eqNullSafe(F.col(f"_r_{k}")) for k in keys]), "full")
+    match = lambda x, y: (S.close if numeric(both, x) and numeric(both, y) else S.values_match)(F.col(x), F.col(y), tolerance)
+    in_left, in_right = F.col("_l_n").isNotNull(), F.col("_r_n").isNotNull()
+    return both.select(
+        *[F.coalesce(f"_l_{k}", f"_r_{k}").alias(k) for k in keys], in_left.alias("in_left"), in_right.alias("in_right"),
+        (in_left & F.coalesce(F.col("_r_n") == 1, F.lit(True))).alias("left_once"), (in_right & F.coalesce(F.col("_l_n") == 1, F.lit(True))).alias("right_once"),
+        *[f"{n}_{v}" for n in names for v in values],
+        *[F.when(in_left & in_right, ~match(f"{names[0]}_{v}", f"{names[1]}_{v}")).alias(f"{v}_discrepancy") for v in values],
+    )
+
+
+def weekly_summary(left: DataFrame, right: DataFrame, period=PERIOD, keys=KEYS, values=S.COMPARED) -> DataFrame:
     """Counts per period that both sides have: records, unique ones, differing values."""
-    left, right = in_shared_periods(left, right, period)
-    all_keys = (*period, *keys)
-    count = lambda df, name: df.groupBy(*period).agg(F.count("*").alias(name))
-    values = long_form(compared(left, right, all_keys), keep=all_keys).filter("Discrepancy")
-    parts = [
-        count(left, "LLMRecords"), count(right, "RuleBasedRecords"), count(only_left(left, right, all_keys), "LLMOnly"),
-        count(only_left(right, left, all_keys), "RuleBasedOnly"), count(values, "ValueDiscrepancies"),
-    ]
-    out = reduce(lambda a, b: a.join(b, list(period), "full"), parts).fillna(0)
+    return summed_by_period(reconciled(left, right, (*period, *keys), values), period, values)
+
+
+def summed_by_period(both: DataFrame, period=PERIOD, values=S.COMPARED) -> DataFrame:
+    differing = reduce(lambda x, y: x + y, [F.coalesce(F.col(f"{v}_discrepancy").cast("long"), F.lit(0)) for v in values])
+    out = both.groupBy(*period).agg(
+        F.count_if("left_once").alias("LLMRecords"), F.count_if("right_once").alias("RuleBasedRecords"), F.count_if(F.col("in_left") & ~F.col("in_right")).alias("LLMOnly"),
+        F.count_if(~F.col("in_left") & F.col("in_right")).alias("RuleBasedOnly"), F.coalesce(F.sum(differing), F.lit(0)).alias("ValueDiscrepancies"),
+    )
+    out = out.filter("LLMRecords > 0 AND RuleBasedRecords > 0")
     return out.withColumn("RecordDifference", F.col("LLMRecords") - F.col("RuleBasedRecords"))
 
 
@@ -146,13 +173,18 @@ def consistency_wins(rates: DataFrame) -> DataFrame:
 
 
 def report(left: DataFrame, right: DataFrame) -> dict[str, DataFrame]:
-    """All frames of a reconciliation, lazily: nothing runs until one is used."""
+    """All frames of a reconciliation, lazily: nothing runs until one is used.
+
+    Summary, pairs, categories and long form come from one ``reconciled`` frame,
+    which a caller who uses several of them may persist under "reconciled".
+    """
     left, right = in_shared_periods(left, right)
-    pairs = compared(left, right)
+    both = reconciled(left, right)
+    pairs = both.filter("in_left AND in_right")
     long = categorized(long_form(pairs))
     rates = rate_consistency(left, right, long)
     return {
-        "summary": weekly_summary(left, right), "discrepancies": discrepant(pairs), "discrepancies_long": long,
+        "reconciled": both, "summary": summed_by_period(both), "discrepancies": discrepant(pairs).drop("in_left", "in_right", "left_once", "right_once"), "discrepancies_long": long,
         "categories": long.filter("Discrepancy").groupBy("Category").count(), "cfr": rates, "cfr_wins": consistency_wins(rates),
         "llm_only": only_left(left, right), "rule_based_only": only_left(right, left), "unique": unique_records(left, right),
     }

@@ -1,8 +1,8 @@
 """A deterministic pair of sources derived from the order tables.
 
 ``side_a`` aggregates line items per nation, priority, year and quarter;
-``side_b`` is a copy with rows dropped and relabelled and values altered by
-fixed arithmetic. ``SIDES_SQL`` is the same in SQL, as common table expressions.
+``side_b`` is a copy of all rows with events relabelled, which makes them
+one-sided, and values altered by fixed arithmetic. ``SIDES_SQL`` is the same in SQL, as common table expressions.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ def side_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def side_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = side_a(spark, sf_dir).filter("(nk * 3 + WeekNumber + Year) % 13 <> 0")
+    a = side_a(spark, sf_dir)
     m = F.expr("(nk * 7 + WeekNumber + Year) % 11")
     total = F.when(m == 0, F.expr("TotalCases div 10")).when(m == 1, F.expr("TotalCases div 1000")).when(m == 2, F.col("TotalCases") + 50).when(m == 3, F.col("TotalCases") + 5).otherwise(F.col("TotalCases"))
     a = a.withColumn("TotalCases", total)
@@ -54,7 +54,7 @@ side_a AS (
   GROUP BY 1, 2, 3, 4, 5),
 altered AS (
   SELECT *, CASE (nk * 7 + WeekNumber + Year) % 11 WHEN 0 THEN TotalCases // 10 WHEN 1 THEN TotalCases // 1000 WHEN 2 THEN TotalCases + 50 WHEN 3 THEN TotalCases + 5 ELSE TotalCases END AS NewTotal
-  FROM side_a WHERE (nk * 3 + WeekNumber + Year) % 13 <> 0),
+  FROM side_a),
 side_b AS (
   SELECT nk, Country, CASE WHEN (nk * 5 + WeekNumber) % 17 = 0 THEN Event || '*' ELSE Event END AS Event, Year, WeekNumber, NewTotal AS TotalCases,
     CASE WHEN (nk + Year) % 7 = 0 THEN NewTotal ELSE CasesConfirmed END AS CasesConfirmed, CASE WHEN (nk + WeekNumber) % 5 = 0 THEN 0 ELSE Deaths END AS Deaths,
