@@ -14,6 +14,15 @@ ENDING_FIELDS = ("PageNumber", "CFR", "Deaths")
 # A complete object with at most one level of nesting; a field pair.
 OBJECT = re.compile(r"\{[^{}]*(?:\{[^{}]*\}[^{}]*)*\}", re.DOTALL)
 PAIR = re.compile(r'"([^"]+)":\s*([^,\n}]+)(?:,|\s*[}\]])')
+#: What the bare text of a value may be read as, the first that fits.
+READINGS = (
+    (re.compile(r"\d+"), int),
+    (re.compile(r"(?=.*\d)\d*\.\d*"), float),
+    (re.compile(r"(?i)true|false"), lambda v: v.lower() == "true"),
+)
+#: Whole strings, brackets and braces; a quote alone begins a string that never ends.
+_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]{}"]', re.DOTALL)
+_CLOSES = {"{": "}", "[": "]"}
 
 
 def unfenced(c: Column) -> Column:
@@ -79,23 +88,83 @@ def recover(response: str | None) -> tuple[str, list]:
             return "truncated_object_fix", got
     if got := [x[0] for m in OBJECT.finditer(text) if (x := _loads(m[0]))]:
         return "complete_objects_extraction", got
-    rebuilt, now = [], {}
-    for m in PAIR.finditer(text):
-        value = m[2].strip().strip('"')
-        if value.isdigit():
-            value = int(value)
-        elif value.replace(".", "").isdigit() and value.count(".") == 1:
-            value = float(value)
-        elif value.lower() in ("true", "false"):
-            value = value.lower() == "true"
-        now[m[1]] = value
-        if m[1] in ENDING_FIELDS:
-            rebuilt.append(now)
-            now = {}
-    rebuilt += [now] if now else []
+    rebuilt = rebuilt_records(text)
     return ("aggressive_repair", rebuilt) if rebuilt else ("no_recovery_possible", [])
 
 
+def rebuilt_records(text: str) -> list[dict]:
+    """Objects out of loose field pairs; each ends with one of ENDING_FIELDS."""
+    pairs = [(m[1], m[2].strip().strip('"')) for m in PAIR.finditer(text)]
+    ends = [k + 1 for k, (name, _) in enumerate(pairs) if name in ENDING_FIELDS]
+    edges = sorted({0, *ends, len(pairs)})
+    return [{name: typed(value) for name, value in pairs[a:b]} for a, b in zip(edges, edges[1:])]
+
+
+def typed(value: str):
+    return next((read(value) for pattern, read in READINGS if pattern.fullmatch(value)), value)
+
+
+def salvaged(text: str | None) -> str | None:
+    """A cut response's JSON up to the last whole element of its first array.
+
+    One pass over the brackets outside strings keeps what is open. Where all is
+    closed the document ends, and what follows is left off; where the text ends
+    earlier, or a bracket does not fit, it is cut after the last element that
+    was closed in the first array, and what is open there is closed. Null if no
+    element was.
+    """
+    start = re.search(r"[\[{]", text or "")
+    if not start:
+        return None
+    open_, level, cut = [], None, None
+    for m in _TOKEN.finditer(text, start.start()):
+        mark = m[0]
+        if mark in _CLOSES:
+            open_.append(_CLOSES[mark])
+            if mark == "[" and level is None:
+                level = len(open_)
+        elif mark == '"':
+            break
+        elif mark in "]}":
+            if mark != open_.pop():
+                break
+            if not open_:
+                return text[start.start() : m.end()]
+            if level and len(open_) <= level:
+                cut = (m.end(), "".join(reversed(open_)))
+            if level and len(open_) < level:
+                level = 0  # the array is closed: nothing behind it is an element
+    return text[start.start() : cut[0]] + cut[1] if cut else None
+
+
+def salvaged_column(c: Column) -> Column:
+    @F.pandas_udf("string")
+    def run(responses: pd.Series) -> pd.Series:
+        return pd.Series([salvaged(r) for r in responses], dtype=object)
+
+    return run(c)
+
+
+def corrections(c: Column) -> Column:
+    """The corrections of a response: (status, corrections, summary).
+
+    ``corrections`` is an array of JSON texts, ``summary`` the JSON text of an
+    object. A whole object is ``parsed``; members that are missing or of another
+    type are empty. Of a broken one the array is ``salvaged`` up to its last
+    whole element, and the summary says so; else ``failed``, with both empty.
+    """
+    clean = F.trim(unfenced(c))
+    whole = F.when(clean.startswith("{"), F.try_parse_json(clean))
+    rest = F.regexp_extract(clean, r'(?s)"corrections"\s*:\s*(\[.*)', 1)
+    saved = salvaged_column(F.when(whole.isNull() & (rest != ""), rest))
+    elements = lambda x: F.transform(F.from_json(x, "array<variant>"), lambda e: F.to_json(e))
+    of_kind = lambda k, kind: F.when(F.schema_of_variant(F.variant_get(whole, f"$.{k}", "variant")).startswith(kind), F.to_json(F.variant_get(whole, f"$.{k}", "variant")))
+    found = elements(F.coalesce(of_kind("corrections", "ARRAY"), saved))
+    status = F.when(whole.isNotNull(), "parsed").when(found.isNotNull(), "salvaged").otherwise("failed")
+    summary = F.coalesce(of_kind("summary", "OBJECT"), F.when(whole.isNull() & found.isNotNull(), '{"recovery_attempted":true}'), F.lit("{}"))
+    return F.struct(status.alias("status"), F.coalesce(found, F.array().cast("array<string>")).alias("corrections"), summary.alias("summary"))
+
+
 def recovered(c: Column) -> Column:
     """(method, n, records) of a response, by ``recover``."""
 

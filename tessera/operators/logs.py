@@ -61,18 +61,49 @@ def next_id(*tables: DataFrame, column: str = "id") -> DataFrame:
     return ids.agg((F.coalesce(F.max("id"), F.lit(0)) + 1).alias("next_id"))
 
 
-def numbered(rows: DataFrame, order, *tables: DataFrame, column: str = "id") -> DataFrame:
-    """Rows with ids in order after the largest of the tables: one writer's batch,
-    which is the size of a run, not of the log."""
-    base = next_id(*tables, column=column)
-    return rows.withColumn("_n", F.row_number().over(Window.orderBy(*order)) - 1).join(base).withColumn(column, F.col("next_id") + F.col("_n")).drop("_n", "next_id")
+def numbered(rows: DataFrame, order, *tables: DataFrame, column: str = "id", parts: int | None = None) -> DataFrame:
+    """Rows with ids in ascending ``order`` after the largest of the tables.
+
+    Rows are cut into ranges of about equal counts by the keys of a bounded
+    sample, each range is counted and numbered by itself, and what lies before
+    it is added: no task holds more than a range. Equal keys are told apart by a
+    hash of the whole row, so only rows equal throughout share a range for sure.
+    """
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashed = [c for c, t in rows.dtypes if "map<" not in t and t != "variant"]
+    keyed = rows.withColumn("_key", F.struct(*order, F.xxhash64(*hashed).alias("_hash")))
+    sample = keyed.select("_key").orderBy(F.xxhash64("_key._hash")).limit(32 * parts)
+    cuts = sample.agg(F.array_sort(F.collect_list("_key")).alias("_all")).select(F.filter("_all", lambda _, i: (i % 32) == 31).alias("_cuts"))  # ``parts`` keys
+    ranged = keyed.join(F.broadcast(cuts)).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col("_key")))).drop("_cuts")
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = counts.select(F.col("_range").alias("_of"), F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # a row a range
+    place = F.row_number().over(Window.partitionBy("_range").orderBy("_key"))
+    base = next_id(*tables, column=column).withColumnRenamed("next_id", "_base") if tables else rows.sparkSession.range(1).select(F.lit(1).cast("long").alias("_base"))
+    out = ranged.join(F.broadcast(before), F.col("_range") == F.col("_of")).withColumn("_n", place).join(F.broadcast(base))
+    return out.withColumn(column, F.col("_base") + F.col("_before") + F.col("_n") - 1).drop("_key", "_range", "_of", "_before", "_n", "_base")
 
 
 def with_metrics(logs: DataFrame, updates: DataFrame, column: str = "custom_metrics") -> DataFrame:
-    """The log with each row's newest metrics document from the side table
-    (id, metrics, updated_at), in place of an update."""
-    newest = updates.groupBy("id").agg(F.max_by("metrics", F.struct("updated_at", "metrics")).alias("_new"))
-    return logs.join(newest, "id", "left").withColumn(column, F.coalesce("_new", column)).drop("_new")
+    """The log with the members of the side table's documents (id, metrics,
+    updated_at) merged into each row's own, in place of an update.
+
+    Members are merged one by one: a newer document's member takes the place of
+    an older one's, all others stay. What is no JSON object counts as an empty
+    one; rows without an update are left as they are, to the letter.
+    """
+    members = lambda c: F.coalesce(F.from_json(F.when(F.try_parse_json(c).isNotNull(), c), "map<string, variant>"), F.create_map().cast("map<string, variant>"))
+    each = updates.filter("id IS NOT NULL").select("id", "updated_at", F.explode(members(F.col("metrics"))).alias("_k", "_v")).withColumn("_v", F.to_json("_v"))
+    newest = each.groupBy("id", "_k").agg(F.max_by("_v", F.struct("updated_at", "_v")).alias("_v"))
+    new = newest.groupBy("id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_k", "_v")))).alias("_new"))  # a document's members
+    own = F.transform_values(members(F.col(column)), lambda _, v: F.to_json(v))
+    merged = F.map_concat(F.map_filter(own, lambda k, _: ~F.map_contains_key("_new", k)), F.col("_new"))
+    text = F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(merged), lambda e: F.concat(F.to_json(F.array(e["key"])).substr(F.lit(2), F.length(F.to_json(F.array(e["key"]))) - 2), F.lit(":"), F.coalesce(e["value"], F.lit("null")))), ","), F.lit("}"))
+    return logs.join(new, "id", "left").withColumn(column, F.when(F.col("_new").isNotNull(), text).otherwise(F.col(column))).drop("_new")
+
+
+def unknown_updates(logs: DataFrame, updates: DataFrame) -> DataFrame:
+    """Updates whose id the log does not have."""
+    return updates.join(logs.select("id"), "id", "left_anti")
 
 
 def lacking_metrics(logs: DataFrame, column: str = "custom_metrics", path: str = "$.accuracy_metrics") -> DataFrame:
