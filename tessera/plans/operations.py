@@ -197,13 +197,19 @@ def next_run_id(spark, sf_dir):
     return L.next_id(ids("orders", "o_orderkey"), ids("events", "event_id"), ids("documents", "doc_id"))
 
 
-@register("log_metrics_update", f"""WITH {LOG_SQL}, u AS (SELECT event_id % 500 AS id, '{{"accuracy_metrics": ' || event_id || '}}' AS metrics, event_id AS updated_at FROM events), n AS (SELECT id, arg_max(metrics, updated_at) AS m FROM u GROUP BY id)
-SELECT log.id, coalesce(m, custom_metrics) AS custom_metrics, json_extract(coalesce(m, custom_metrics), '$.accuracy_metrics') IS NULL AS lacking FROM log LEFT JOIN n ON log.id = n.id""")
+_METRICS = "concat('{\"n\": ', id, ', \"tag\": \"run ', id, '\"', CASE WHEN id % 3 = 0 THEN ', \"accuracy_metrics\": 0' ELSE '' END, '}')"
+
+
+@register("log_metrics_update", f"""WITH {LOG_SQL}, held AS (SELECT id, CASE WHEN id % 5 = 4 THEN 'cut off' ELSE {_METRICS} END AS doc FROM log),
+u AS (SELECT event_id % 500 AS id, max(event_id) AS m FROM events GROUP BY 1)
+SELECT held.id, CASE WHEN id % 5 < 4 THEN CAST(id AS VARCHAR) END AS n, CASE WHEN id % 5 < 4 THEN concat('run ', id) END AS tag,
+  CASE WHEN m IS NOT NULL THEN CAST(m AS VARCHAR) WHEN id % 5 < 4 AND id % 3 = 0 THEN '0' END AS accuracy, m IS NULL AND (id % 5 = 4 OR id % 3 > 0) AS lacking FROM held LEFT JOIN u USING (id)""")
 def log_metrics_update(spark, sf_dir):
-    log = run_log(spark, sf_dir)
+    """Documents of several members, some cut off; every run's newest metrics are merged."""
+    log = run_log(spark, sf_dir).withColumn("custom_metrics", F.expr(f"CASE WHEN id % 5 = 4 THEN 'cut off' ELSE {_METRICS} END"))
     updates = log.select((F.col("id") % 500).alias("id"), F.concat(F.lit('{"accuracy_metrics": '), F.col("id").cast("string"), F.lit("}")).alias("metrics"), F.col("id").alias("updated_at"))
-    out = L.with_metrics(log, updates)
-    return out.select("id", "custom_metrics", F.get_json_object("custom_metrics", "$.accuracy_metrics").isNull().alias("lacking"))
+    member = lambda k: F.get_json_object("custom_metrics", f"$.{k}")
+    return L.with_metrics(log, updates).select("id", member("n").alias("n"), member("tag").alias("tag"), member("accuracy_metrics").alias("accuracy"), member("accuracy_metrics").isNull().alias("lacking"))
 
 
 @register("log_outcomes", f"WITH {LOG_SQL} SELECT model_name AS status, count(*) AS runs, CAST(coalesce(sum(records_extracted), 0) AS BIGINT) AS records FROM log GROUP BY model_name")
@@ -237,12 +243,11 @@ def json_field_decode(spark, sf_dir):
     return events(spark, sf_dir).groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k).alias("total"), F.count(F.when(F.get_json_object("props", "$.missing").isNull(), 1)).alias("lacking"))
 
 
-def responses(spark, sf_dir, users: int | None = None) -> DataFrame:
-    """A response per user (or user number modulo ``users``): fenced, enveloped,
-    truncated or plain, by the number."""
-    items = F.transform(F.array_sort(F.collect_list(F.struct("event_id", "props"))), lambda x: x["props"])
-    rows = events(spark, sf_dir).withColumn("user_id", F.col("user_id") % users if users else F.col("user_id"))
-    body = rows.groupBy("user_id").agg(F.concat_ws(", ", items).alias("body"), F.count("*").alias("expected"))
+def responses(spark, sf_dir, element: str = "props") -> DataFrame:
+    """A response per user, of ``element`` an event: fenced, enveloped, truncated or
+    plain, by the number."""
+    items = F.transform(F.array_sort(F.collect_list(F.struct("event_id", F.expr(element).alias("element")))), lambda x: x["element"])
+    body = events(spark, sf_dir).groupBy("user_id").agg(F.concat_ws(", ", items).alias("body"), F.count("*").alias("expected"))
     kind = F.col("user_id") % 4
     text = (
         F.when(kind == 0, F.concat(F.lit("```json\n["), "body", F.lit("]\n```")))
@@ -260,11 +265,18 @@ def json_records_repair(spark, sf_dir):
     return found.select("user_id", F.size("records").cast("long").alias("n"), total.alias("total"))
 
 
-@register("json_recovery_cascade")
+_ELEMENT = """concat('{"event": "', event_type, '", "user": ', user_id, ', "id": ', event_id, '}')"""
+
+
+@register("json_recovery_cascade", f"""WITH e AS (SELECT user_id AS id, count(*) AS c, sum(length({_ELEMENT}) + 2) - 2 AS n FROM events GROUP BY user_id),
+r AS (SELECT *, CASE id % 4 WHEN 0 THEN n + 14 WHEN 1 THEN n + 15 WHEN 2 THEN n - 1 ELSE n + 30 END AS size FROM e)
+SELECT id, CAST(size AS BIGINT) AS response_length, CASE id % 4 WHEN 2 THEN 'truncated_array_fix' WHEN 3 THEN 'truncated_object_fix' ELSE 'markdown_cleanup' END AS method,
+  CASE id % 4 WHEN 1 THEN 1 ELSE c END AS records_recovered FROM r WHERE size > 1000""")
 def json_recovery_cascade(spark, sf_dir):
+    """Failed responses of more than 1000 characters, one a user."""
     ship_package(spark)
-    rows = responses(spark, sf_dir, users=20).select(F.col("user_id").alias("id"), F.lit(False).alias("parsed_success"), F.col("response").alias("raw_response"))
-    return J.recovery_report(rows)
+    rows = responses(spark, sf_dir, _ELEMENT).select(F.col("user_id").alias("id"), F.lit(False).alias("parsed_success"), F.col("response").alias("raw_response"))
+    return J.recovery_report(rows).drop("records")
 
 
 # ----------------------------------------------------------- scalars and names
