@@ -78,11 +78,15 @@ def clean_rule_table(df: DataFrame) -> DataFrame:
     return df.withColumns(counts | ({"CFR": S.raw_rate_text(F.col("CFR"))} if "CFR" in df.columns else {}))
 
 
-def still_valid(before: DataFrame, after: DataFrame) -> DataFrame:
-    """One row: whether no row was lost and no key part became null."""
-    gaps = lambda df, p: df.agg(F.count("*").alias(f"{p}_rows"), *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"{p}_{c}") for c in ("Country", "Event")])
-    both = gaps(before, "b").join(gaps(after, "a"))  # two one-row aggregates
-    return both.select(((F.col("b_rows") == F.col("a_rows")) & (F.col("a_Country") <= F.col("b_Country")) & (F.col("a_Event") <= F.col("b_Event"))).alias("valid"))
+def still_valid(before: DataFrame, after: DataFrame, by: str | None = None) -> DataFrame:
+    """Whether no row was lost and no key part became null: one row, or one for each
+    value of ``by`` in ``before``."""
+    keys = [by] if by else []
+    gaps = lambda df, p: df.groupBy(*keys).agg(F.count("*").alias(f"{p}_rows"), *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"{p}_{c}") for c in ("Country", "Event")])
+    b, a = gaps(before, "b"), gaps(after, "a")
+    both = b.join(a, keys, "left") if keys else b.join(a)  # else two one-row aggregates
+    valid = (F.col("b_rows") == F.col("a_rows")) & (F.col("a_Country") <= F.col("b_Country")) & (F.col("a_Event") <= F.col("b_Event"))
+    return both.select(*keys, F.coalesce(valid, F.lit(False)).alias("valid"))
 
 
 def final_format(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,15 +40,48 @@ def report_prefix(weeks: list[int], year: int | None) -> str:
 
 
 def write_reports(frames: dict[str, DataFrame], folder: str, prefix: str) -> list[str]:
-    """A CSV per frame that has rows; returns what was written."""
+    """A folder of CSV files per frame that has rows; returns what was written."""
     out = []
     for name, df in frames.items():
         if not df.isEmpty():
-            write_csv(df, f"{folder}/{prefix}_{name}", one_file=True)
+            write_csv(df, f"{folder}/{prefix}_{name}")
             out.append(name)
     return out
 
 
+def write_named(df: DataFrame, folder: str, name: str = "name", force: bool = False) -> int:
+    """A CSV file ``<folder>/<value>.csv`` for each value of the column ``name``;
+    returns how many were written.
+
+    Files that are there are left alone unless ``force`` is set, so a run that was
+    cut short is finished by another. Files are written in a folder that readers
+    pass over and then renamed: none is ever seen in part. Rows without a name are
+    left out. The driver renames, a call a file.
+    """
+    spark = df.sparkSession
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = lambda *parts: jvm.org.apache.hadoop.fs.Path("/".join(parts))
+    root = folder.rstrip("/")
+    fs = path(root).getFileSystem(hadoop)
+    df = df.filter(F.col(name).isNotNull())
+    if not force and fs.exists(path(root)):
+        there = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(root).select(F.regexp_extract("path", r"([^/]*)\.csv$", 1).alias(name))
+        df = df.join(there.distinct(), name, "left_anti")
+    staging = f"{root}/_staging_{uuid.uuid4().hex}"
+    df.withColumn("_group", F.col(name).cast("string")).drop(name).repartition("_group").write.option("header", True).option("emptyValue", "").partitionBy("_group").csv(staging)
+    done = 0
+    for group in fs.listStatus(path(staging)):
+        if group.isDirectory():
+            value = unquote(group.getPath().getName().removeprefix("_group="))
+            (part,) = [f.getPath() for f in fs.listStatus(group.getPath()) if f.getPath().getName().startswith("part-")]
+            target = path(root, f"{value}.csv")
+            fs.delete(target, False)
+            fs.rename(part, target)
+            done += 1
+    fs.delete(path(staging), True)
+    return done
+
+
 def migrate_table(df: DataFrame, path: str, timestamp: str = "timestamp") -> None:
     """A log table into Parquet, its text timestamps as timestamps."""
     if timestamp in df.columns and df.schema[timestamp].dataType.simpleString() == "string":
