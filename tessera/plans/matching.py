@@ -111,3 +111,84 @@ WHERE TotalCases_discrepancy OR CasesConfirmed_discrepancy OR Deaths_discrepancy
 def comparison_reports(spark, sf_dir):
     """All frames of the report from one join; here its discrepancies a week."""
     return reconcile.report(side_a(spark, sf_dir), side_b(spark, sf_dir))["discrepancies"].groupBy("Year", "WeekNumber").agg(F.count("*").alias("discrepancies"))
+
+
+# ------------------------------------------------------- tables by their headers
+
+_HEAD = """CASE o_custkey % 3 WHEN 0 THEN array('Country', 'Event', 'Grade', 'Total cases', 'Cases Confirmed', 'Deaths', 'CFR')
+  WHEN 1 THEN array('Event name', 'COUNTRY', 'Deaths so far', 'Total  cases', 'Cases Confirmed', 'CFR (%)') ELSE array('New events') END"""
+_DATA = """CASE WHEN o_orderkey % 7 = 0 THEN array('Ongoing events') WHEN o_custkey % 3 = 0 THEN array(land, o_orderpriority, 'Grade 1', total, sure, dead, '1.5%')
+  WHEN o_custkey % 3 = 1 THEN array(o_orderpriority, land, dead, total, sure, '1.5%') ELSE array(land, o_orderpriority, 'Grade 1', 'd', 's', 'e', total, sure, dead, '1.5%') END"""
+
+
+@register("reconstructed_tables", """SELECT o_orderkey AS row_no, concat('Land ', o_custkey % 25) AS Country, o_orderpriority AS Event, CASE WHEN o_custkey % 3 = 1 THEN '' ELSE 'Grade 1' END AS Grade,
+  CASE WHEN o_custkey % 3 = 2 THEN 'd' ELSE '' END AS Date_Notified, CAST(o_custkey * 1000 AS BIGINT) AS Total_Cases, CAST(o_orderkey % 50 AS BIGINT) AS Confirmed_Cases, CAST(o_orderkey % 9 AS BIGINT) AS Deaths, CAST(1.5 AS DOUBLE) AS CFR
+FROM orders WHERE o_orderkey % 7 <> 0 UNION ALL
+SELECT NULL, concat('Land ', chr(CAST(65 + n_nationkey AS INTEGER))), 'Cholera', 'Grade 2', '', 100 + n_nationkey, 10, 3, 1.5 FROM nation""")
+def reconstructed_tables(spark, sf_dir):
+    """A table a customer, with headers of two kinds or none; records of nations stand in text."""
+    from tessera.operators import tables
+
+    orders = table(spark, sf_dir, "orders").selectExpr("*", "concat('Land ', o_custkey % 25) AS land", "concat(o_custkey, ',000') AS total", "string(o_orderkey % 50) AS sure", "string(o_orderkey % 9) AS dead")
+    data = orders.selectExpr("o_custkey AS table_id", "o_orderkey AS row_no", f"{_DATA} AS cells")
+    heads = orders.select("o_custkey").distinct().selectExpr("o_custkey AS table_id", "-1L AS row_no", f"{_HEAD} AS cells")
+    texts = table(spark, sf_dir, "nation").selectExpr("-1L - n_nationkey AS table_id", "concat('Land ', chr(int(65 + n_nationkey)), ' Cholera Grade 2 cases ', 100 + n_nationkey, ' and 10 then 3 rate 1.5% end') AS text")
+    return tables.reconstructed(data.unionByName(heads), texts).select("row_no", "Country", "Event", "Grade", "Date_Notified", "Total_Cases", "Confirmed_Cases", "Deaths", "CFR")
+
+
+# ------------------------------------------------- extraction files, end to end
+
+
+def _extractions(df, model: str, run: int):
+    fields = ["Country", "Event", "Grade", "TotalCases", "CasesConfirmed", "Deaths", "CFR"]
+    return df.select(F.format_string(f"OEW%02d-%d_{model}_{run}", "WeekNumber", "Year").alias("name"), *fields)
+
+
+def _written(spark, sf_dir, name: str) -> str:
+    """side_a as files of a model, an older run of half the weeks among them."""
+    from tessera.plans.operations import scratch
+    from tessera.sources import sinks
+
+    folder, rows = scratch(spark, name), side_a(spark, sf_dir)
+    sinks.write_named(_extractions(rows.filter("WeekNumber < 3").withColumn("Country", F.lit("nobody")), "gpt-x", 1), folder)
+    sinks.write_named(_extractions(rows, "gpt-x", 2), folder)
+    return folder
+
+
+@register("reconciled_extractions", f"""WITH {SIDES_SQL}, j AS (SELECT Year, WeekNumber, a.nk AS l, b.nk AS r FROM side_a a FULL JOIN side_b b USING (Year, WeekNumber, Country, Event))
+SELECT Year, WeekNumber, count(l) AS LLMRecords, count(r) AS RuleBasedRecords, count(*) - count(r) AS LLMOnly, count(*) - count(l) AS RuleBasedOnly FROM j GROUP BY ALL""")
+def reconciled_extractions(spark, sf_dir):
+    """From files of two sources, the newest run of each week, to the summary."""
+    from tessera.plans import pipelines
+    from tessera.plans.operations import scratch
+    from tessera.sources import sinks
+
+    rules = scratch(spark, "rule_files")
+    sinks.write_named(_extractions(side_b(spark, sf_dir), "rule", 5), rules)
+    summary = pipelines.reconcile_extractions(spark, _written(spark, sf_dir, "model_files"), rules)["summary"]
+    return summary.select("Year", "WeekNumber", "LLMRecords", "RuleBasedRecords", "LLMOnly", "RuleBasedOnly")
+
+
+@register("processed_raw", f"WITH {SIDES_SQL} SELECT Year, WeekNumber, count(*) AS records, count(*) AS in_master FROM side_a GROUP BY Year, WeekNumber")
+def processed_raw(spark, sf_dir):
+    from tessera.plans import pipelines
+    from tessera.plans.operations import scratch
+
+    master = scratch(spark, "raw_master")
+    done = pipelines.process_raw(spark, _written(spark, sf_dir, "raw_files"), scratch(spark, "raw_processed"), master)
+    there = spark.read.parquet(master).groupBy("Year", "WeekNumber").agg(F.count("*").alias("in_master"))
+    return done.join(there, ["Year", "WeekNumber"])
+
+
+@register("exported_calls", "SELECT concat('call_', user_id) AS name, event_id, event_type FROM events")
+def exported_calls(spark, sf_dir):
+    """A file a call; a second run adds the calls that the first lacked and no other."""
+    from tessera.plans.operations import scratch
+    from tessera.sources import files, sinks
+
+    folder = scratch(spark, "calls")
+    rows = table(spark, sf_dir, "events").select(F.concat(F.lit("call_"), F.col("user_id").cast("string")).alias("name"), "event_id", "event_type")
+    sinks.write_named(rows.filter("name < 'call_5'"), folder)
+    sinks.write_named(rows.withColumn("event_type", F.when(F.col("name") < "call_5", "overwritten").otherwise(F.col("event_type"))), folder)
+    found = files.csv(spark, f"{folder}/*.csv").withColumn("name", F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", ""))
+    return found.select("name", F.col("event_id").cast("long").alias("event_id"), "event_type")

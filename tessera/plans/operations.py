@@ -137,11 +137,11 @@ def unprocessed_files(spark, sf_dir):
     return unprocessed(rows.select("name").distinct(), rows.filter("o_totalprice > 499000"))
 
 
-@register("sampled_sources")
+@register("sampled_sources", "SELECT doc_id, source FROM documents WHERE source IN (SELECT source FROM documents WHERE source IS NOT NULL GROUP BY source ORDER BY md5(concat(source, ':42')), source LIMIT 3)")
 def sampled_sources(spark, sf_dir):
     """Three sources drawn with a seed, and all their rows: a sampling operator."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    drawn = docs.select("source").distinct().orderBy(F.xxhash64("source", F.lit(42))).limit(3)
+    drawn = docs.select("source").filter("source IS NOT NULL").distinct().orderBy(F.md5(F.concat("source", F.lit(":42"))), "source").limit(3)
     return docs.join(F.broadcast(drawn), "source", "left_semi")
 
 
@@ -486,7 +486,11 @@ def stitched_regions(spark, sf_dir):
     return T.united(b, T.stitched(b))
 
 
-@register("positioned_lines")
+@register("positioned_lines", """WITH w AS (SELECT l_suppkey AS page_id, l_orderkey * 10 + l_linenumber AS seq, CAST(l_quantity AS DOUBLE) AS y0, l_extendedprice AS x0, l_returnflag AS text FROM lineitem),
+p AS (SELECT page_id, list_reduce(list(CAST([y0] AS DOUBLE[]) ORDER BY seq), lambda a, b: CASE WHEN len(list_filter(a, lambda z: abs(z - b[1]) <= 3)) > 0 THEN a ELSE list_concat(a, b) END) AS begun FROM w GROUP BY page_id),
+l AS (SELECT w.page_id, seq, x0, text, list_filter(begun, lambda z: abs(z - w.y0) <= 3)[1] AS y0 FROM w JOIN p ON w.page_id = p.page_id),
+j AS (SELECT page_id, y0, string_agg(text, ' ' ORDER BY x0, seq) AS line FROM l GROUP BY page_id, y0)
+SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY y0) - 1 AS line_no, y0, line FROM j""")
 def positioned_lines(spark, sf_dir):
     ship_package(spark)
     words = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("page_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.col("l_quantity").alias("y0"), F.col("l_extendedprice").alias("x0"), F.col("l_returnflag").alias("text"))

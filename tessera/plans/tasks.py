@@ -135,10 +135,13 @@ def final_format(spark, sf_dir):
     return cleaning.final_format(rows, ["n_nationkey", "Country", "Grade", "Deaths"])
 
 
-@register("header_names", "SELECT * FROM (VALUES ('Country Name', 'Country'), ('  Total   cases', 'Total_Cases'), ('Any other', 'Any_other'), ('CFR (%)', 'CFR')) AS t(header, name)")
+_HEADERS = "CASE o_orderkey % 5 WHEN 0 THEN concat(o_clerk_, '  Country   Name') WHEN 1 THEN concat('TOTAL   CASES ', o_clerk_) WHEN 2 THEN concat(o_clerk_, ' reported') WHEN 3 THEN 'CFR (%)' ELSE concat('Start of', chr(10), 'reporting ', o_clerk_) END"
+
+
+@register("header_names", """SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'Country' WHEN 1 THEN 'Total_Cases' WHEN 2 THEN concat('C', o_custkey, '_reported') WHEN 3 THEN 'CFR' ELSE 'Start_Date' END AS name FROM orders""")
 def header_names(spark, sf_dir):
-    headers = ["Country Name", "  Total   cases", "Any other", "CFR (%)"]
-    return spark.createDataFrame([(h, N.fuzzy_header(h)) for h in headers], "header string, name string")
+    rows = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "concat('C', o_custkey) AS o_clerk_").selectExpr("o_orderkey", f"{_HEADERS} AS header")
+    return rows.select("o_orderkey", tables.header_field(F.col("header")).alias("name"))
 
 
 @register("confidence_scores", "SELECT event_id, least(greatest(value / 100 + CASE WHEN event_id % 2 = 0 THEN 0.15 ELSE 0 END + CASE WHEN event_id % 3 = 0 THEN 0.1 ELSE 0 END, 0), 1) AS score FROM events")
@@ -223,8 +226,13 @@ def migrated_log(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", F.unix_micros("timestamp").alias("at_us"))
 
 
-@register("still_valid", "SELECT true AS valid, false AS lost")
+@register("still_valid", f"""WITH {SIDES_SQL}, g AS (SELECT Country, count(*) AS n, count(CASE WHEN TotalCases >= 100 THEN 1 END) AS kept, count(CASE WHEN TotalCases < 100 THEN 1 END) AS gone FROM side_a GROUP BY Country),
+t AS (SELECT sum(n) AS n, sum(kept) AS kept FROM g)
+SELECT Country, true AS cleaned, gone = 0 AS filtered, false AS blanked FROM g""")
 def still_valid(spark, sf_dir):
-    rows = table(spark, sf_dir, "nation").selectExpr("n_name AS Country", "n_name AS Event")
-    valid = cleaning.still_valid(rows, rows)
-    return valid.join(cleaning.still_valid(rows, rows.filter("Country <> 'NATION_3' AND Country <> 'KENYA'").limit(1)).withColumnRenamed("valid", "lost"))
+    """By country: cleaned rows, rows without small counts, rows whose events are blanked."""
+    rows = side_a(spark, sf_dir)
+    checked = lambda after, name: cleaning.still_valid(rows, after, by="Country").withColumnRenamed("valid", name)
+    out = checked(cleaning.clean(rows.withColumns({c: F.col(c).cast("string") for c in ("TotalCases", "CasesConfirmed", "Deaths", "CFR")})), "cleaned")
+    out = out.join(checked(rows.filter("TotalCases >= 100"), "filtered"), "Country")
+    return out.join(checked(rows.withColumn("Event", F.lit(None).cast("string")), "blanked"), "Country")
