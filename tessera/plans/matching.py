@@ -192,3 +192,65 @@ def exported_calls(spark, sf_dir):
     sinks.write_named(rows.withColumn("event_type", F.when(F.col("name") < "call_5", "overwritten").otherwise(F.col("event_type"))), folder)
     found = files.csv(spark, f"{folder}/*.csv").withColumn("name", F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", ""))
     return found.select("name", F.col("event_id").cast("long").alias("event_id"), "event_type")
+
+
+# ------------------------------------------------ layout, pages, events, fields
+
+
+@register("layout_blocks", """WITH s AS (SELECT l_suppkey AS doc_id, CAST(l_orderkey % 5 AS INTEGER) AS page, l_orderkey * 1.0 AS y0, l_linenumber * 10.0 AS x0, l_orderkey + CAST(l_quantity AS DOUBLE) AS y1, l_linenumber * 10.0 + 8 AS x1,
+  concat(l_orderkey, '-', l_linenumber) AS text, l_tax * 100 AS size, l_returnflag AS font, l_linestatus = 'F' AS bold FROM lineitem),
+a AS (SELECT *, max(y1) OVER (PARTITION BY doc_id, page ORDER BY y0, x0, text, y1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS above FROM s),
+b AS (SELECT *, sum(CASE WHEN above IS NULL OR y0 - above > y1 - y0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, page ORDER BY y0, x0, text, y1 ROWS UNBOUNDED PRECEDING) - 1 AS block_no FROM a),
+f AS (SELECT doc_id, page, block_no, font, row_number() OVER (PARTITION BY doc_id, page, block_no ORDER BY count(*) DESC, font) AS rn FROM b GROUP BY doc_id, page, block_no, font)
+SELECT b.doc_id, b.page, CAST(b.block_no AS BIGINT) AS block_no, string_agg(text, ' ' ORDER BY y0, x0, text) AS text, CAST(max(y1) - min(y0) AS DOUBLE) AS height, round(avg(CAST(size AS DOUBLE)), 6) AS avg_size, any_value(f.font) AS dominant_font, bool_or(bold) AS has_bold
+FROM b JOIN f ON b.doc_id = f.doc_id AND b.page = f.page AND b.block_no = f.block_no AND rn = 1 GROUP BY 1, 2, 3""")
+def layout_blocks(spark, sf_dir):
+    """Spans derived from line items: a page of a supplier's orders."""
+    from tessera.operators import tables
+
+    spans = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_suppkey AS doc_id", "int(l_orderkey % 5) AS page", "double(l_orderkey) AS y0", "l_linenumber * 10D AS x0", "l_orderkey + double(l_quantity) AS y1", "l_linenumber * 10D + 8 AS x1",
+        "concat(l_orderkey, '-', l_linenumber) AS text", "l_tax * 100 AS size", "l_returnflag AS font", "l_linestatus = 'F' AS bold",
+    )
+    blocks = tables.text_blocks(spans)
+    return blocks.select("doc_id", "page", "block_no", "text", (F.col("y1") - F.col("y0")).alias("height"), F.round(F.col("avg_size").cast("double"), 6).alias("avg_size"), "dominant_font", "has_bold")
+
+
+@register("event_keywords", """SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN concat('cholera ', o_orderkey, ';cholera;vibrio cholerae') WHEN 1 THEN concat('yellow fever ', o_orderkey, ';yellow fever;yf')
+  WHEN 2 THEN concat('mpox near ', o_orderkey, ';monkeypox;mpox;orthopoxvirus') ELSE concat('flood ', o_orderkey) END AS words FROM orders""")
+def event_keywords(spark, sf_dir):
+    from tessera.functions import names
+
+    event = F.expr("concat(CASE o_orderkey % 4 WHEN 0 THEN 'CHOLERA ' WHEN 1 THEN 'Yellow Fever ' WHEN 2 THEN 'Mpox near ' ELSE 'Flood ' END, o_orderkey)")
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(names.event_keywords(event), ";").alias("words"))
+
+
+@register("guessed_fields", """SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN 'Deaths' WHEN 1 THEN 'TotalCases' WHEN 2 THEN CASE WHEN abs(l_quantity - 50) < 5 THEN 'TotalCases' WHEN abs(l_quantity - 20) < 2 THEN 'CasesConfirmed' ELSE 'TotalCases' END END AS field FROM lineitem""")
+def guessed_fields(spark, sf_dir):
+    text = F.expr("concat(l_comment_, CASE l_linenumber % 4 WHEN 0 THEN ' people DIED' WHEN 1 THEN ' new infections' WHEN 2 THEN ' cases' ELSE ' other' END)")
+    rows = table(spark, sf_dir, "lineitem").selectExpr("*", "concat('note ', l_partkey) AS l_comment_")
+    value = F.when(F.col("l_linenumber") % 4 == 1, 50).otherwise(F.col("l_quantity"))
+    return rows.select("l_orderkey", "l_linenumber", C.guessed_field(text, value, F.lit(50), F.lit(20)).alias("field"))
+
+
+@register("backfilled_accuracy", f"""WITH {SIDES_SQL}, p AS (SELECT concat('1.', a.WeekNumber) AS version, a.Country AS model, abs(a.TotalCases - b.TotalCases) > 0.01 AS t, abs(a.CasesConfirmed - b.CasesConfirmed) > 0.01 AS c, abs(a.Deaths - b.Deaths) > 0.01 AS d, abs(a.CFR - b.CFR) > 0.01 AS r, a.Grade IS DISTINCT FROM b.Grade AS g
+  FROM side_a a JOIN side_b b USING (Country, Event, Year, WeekNumber))
+SELECT version, model, count(*) AS total_compared, count(CASE WHEN t OR c OR d OR r OR g THEN 1 END) AS total_discrepant FROM p WHERE NOT (version = '1.1' AND model IN (SELECT n_name FROM nation WHERE n_regionkey = 0)) GROUP BY ALL""")
+def backfilled_accuracy(spark, sf_dir):
+    """Accuracy by version (a quarter) and model (a nation), but for those that the log has."""
+    from tessera.plans import pipelines
+
+    pairs = reconcile.compared(side_a(spark, sf_dir), side_b(spark, sf_dir)).withColumns({"version": F.concat(F.lit("1."), F.col("WeekNumber").cast("string")), "model": F.col("Country")})
+    logged = table(spark, sf_dir, "nation").filter("n_regionkey = 0").select(F.lit("1.1").alias("version"), F.col("n_name").alias("model"))
+    done = pipelines.backfill(pairs, logged)
+    return done.select("version", "model", *[F.col(c).cast("long") for c in ("total_compared", "total_discrepant")])
+
+
+@register("page_paragraphs", """WITH p AS (SELECT doc_id, unnest(regexp_split_to_array(concat(text, chr(10), chr(10), 'page two of ', doc_id), '\\n\\s*\\n')) AS para FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, count(*) AS n FROM p WHERE regexp_matches(para, '\\S') GROUP BY doc_id""")
+def page_paragraphs(spark, sf_dir):
+    from tessera.operators import tables
+
+    docs = table(spark, sf_dir, "documents").filter("text IS NOT NULL")
+    marked = docs.select("doc_id", F.concat(F.lit("--- PAGE 1 ---\n"), "text", F.lit("\n--- PAGE 2 ---\npage two of "), F.col("doc_id").cast("string")).alias("text"))
+    return tables.paragraphs(tables.pages(marked)).groupBy("doc_id").agg(F.count("*").alias("n"))
