@@ -584,11 +584,29 @@ def linked_text_blocks(spark, sf_dir):
 # ------------------------------------------------------- sources, sinks, streams
 
 
+_made: list[tuple] = []
+
+
 def scratch(spark, name: str) -> str:
-    """A new folder where every executor can write: the warehouse."""
+    """A new folder that driver and executors share: below spark.checkpoint.dir, or
+    the warehouse where that is unset. Results are read from it lazily, so it is
+    deleted when the driver ends."""
+    import atexit
     import uuid
 
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tessera_{name}_{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/tessera_{name}_{uuid.uuid4().hex}"
+    if not _made:
+        atexit.register(_clear)
+    _made.append((spark, path))
+    return path
+
+
+def _clear() -> None:
+    for spark, path in _made:
+        if spark.sparkContext._jsc is not None:  # not stopped
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @register("roundtrip_csv", "SELECT p_partkey AS key, p_name AS name, CAST(p_size AS VARCHAR) AS size FROM part")
