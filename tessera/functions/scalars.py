@@ -214,3 +214,13 @@ def text_key(*parts: Column, sep: str = "|") -> Column:
 
 def week_label(year: Column, week: Column) -> Column:
     return F.concat(year.cast("string"), F.lit("-W"), F.lpad(week.cast("string"), 2, "0"))
+
+
+def ratio(a: Column, b: Column) -> Column:
+    """a / b; null where b is zero or null."""
+    return F.try_divide(a.cast("double"), b.cast("double"))
+
+
+def verified(found: Column, expected: Column) -> Column:
+    """Whether both are there and equal."""
+    return F.coalesce(found == expected, F.lit(False))

@@ -122,3 +122,28 @@ def since(logs: DataFrame, now, days: int = 7, column: str = "timestamp") -> Dat
 def run_id():
     """The seconds since 1970 at which a query runs."""
     return F.unix_timestamp(F.current_timestamp())
+
+
+def linked_runs(logs: DataFrame, preprocessing: DataFrame, metrics: DataFrame, id_col: str = "id", preprocessing_id: str = "preprocessing_id") -> DataFrame:
+    """The log with each run's preprocessing (id, method, success) and its accuracy
+    document (id, metrics); runs that lack either, or name none, stay with nulls.
+
+    Of several documents of a run the greatest text counts, so no run is doubled.
+    """
+    before = preprocessing.select(F.col(id_col).alias("_pre"), F.col("method").alias("preprocessing_method"), F.col("success").alias("preprocessing_success"))
+    before = before.filter("_pre IS NOT NULL").dropDuplicates(["_pre"])
+    found = metrics.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_run")).agg(F.max("metrics").alias("accuracy_document"))
+    out = logs.join(before, F.col(preprocessing_id) == F.col("_pre"), "left").join(found, F.col(id_col) == F.col("_run"), "left")
+    return out.drop("_pre", "_run").withColumn("has_metrics", F.col("accuracy_document").isNotNull())
+
+
+def current_versions(registry: DataFrame) -> DataFrame:
+    """(kind, version, versions, marked) of a registry (kind, version, is_current):
+    the version marked as current, the newest of several, else the newest by number."""
+    order = F.struct(F.coalesce("is_current", F.lit(False)), S.version_key(F.col("version")), "version")
+    return registry.groupBy("kind").agg(F.max_by("version", order).alias("version"), F.countDistinct("version").alias("versions"), F.bool_or(F.coalesce("is_current", F.lit(False))).alias("marked"))
+
+
+def models_by_version(runs: DataFrame) -> DataFrame:
+    """(version, models): the models that each version ran with, sorted."""
+    return runs.groupBy("version").agg(F.sort_array(F.collect_set("model")).alias("models"))

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions import names
 from tessera.functions import scalars as S
 from tessera.operators import tables as T
+from tessera.operators.textmatch import contained
+
+# What headers of tables say; the first three also end a narrative.
+HEADINGS = ("country", "event", "grade", "date notified", "total cases", "start of reporting", "end of reporting", "cases confirmed", "ongoing events", "new events", "cfr", "deaths")
+# Fixed value: what the page says on which the monitored events begin.
+MARKER = "All events currently being monitored"
 
 
 def relevant_lines(docs: DataFrame, records: DataFrame, most: int = 15, names: int = 10, doc: str = "doc_id", seq: str = "seq") -> DataFrame:
@@ -43,3 +50,138 @@ def table_summary(df: DataFrame, top: int = 5) -> DataFrame:
 def rows_as_json(df: DataFrame, row_id: str, columns: list[str]) -> DataFrame:
     """(row id, record): each row as a JSON document that names its row."""
     return df.select(row_id, F.to_json(F.struct(F.col(row_id).alias("row_id"), *columns)).alias("record"))
+
+
+def country_words(words: DataFrame, known: DataFrame) -> DataFrame:
+    """(word), lower-cased: those of 50 characters at most that hold a known name
+    (name) or are a part of one, ignoring case. Both ways go through ``contained``."""
+    own = words.select(F.lower("word").alias("word")).filter("length(word) BETWEEN 1 AND 50").distinct()
+    dim = known.select(F.lower("name").alias("name")).filter("length(name) > 0").distinct()
+    part = contained(dim.select(F.col("name").alias("text")), own.select(F.col("word").alias("name"))).select(F.col("name").alias("word"))
+    holds = contained(own.select(F.col("word").alias("text")), dim).select(F.col("text").alias("word"))
+    return part.union(holds).distinct()
+
+
+def page_lines(pages: DataFrame, known: DataFrame, words: DataFrame | None = None, keys=("page_id",)) -> DataFrame:
+    """(keys, line_no, line, low, names): lines of page texts, single-spaced, and
+    whether the first word ``names`` a country.
+
+    Where a page has positioned ``words`` (key, seq, x0, y0, text), its lines are
+    built from them; ``keys`` is one column then.
+    """
+    rows = T.lines(pages.select(*keys, "text")).withColumn("line_no", F.col("line_no").cast("long"))
+    if words is not None:
+        placed = T.text_lines(words.filter("y0 IS NOT NULL"), *keys).select(*keys, "line_no", "line")
+        rows = rows.join(placed.select(*keys).distinct(), list(keys), "left_anti").unionByName(placed)
+    rows = rows.withColumn("line", S.spaces(F.col("line"))).withColumn("low", F.lower("line"))
+    rows = rows.withColumn("_word", F.element_at(F.split("low", " "), 1))
+    begins = country_words(rows.select(F.col("_word").alias("word")), known).select(F.col("word").alias("_word"), F.lit(True).alias("names"))
+    return rows.join(begins, "_word", "left").select(*keys, "line_no", "line", "low", F.coalesce("names", F.lit(False)).alias("names"))
+
+
+def says(low: Column, headings) -> Column:
+    return low.rlike("|".join(headings))
+
+
+def carried_on(keys, most: int, stop: Column, skip: Column | None = None) -> Column:
+    """A line and those of the next ``most`` that go on with it: skipped ones are
+    left out, the first that stops it and all behind it are not taken."""
+    skip = F.lit(False) if skip is None else skip
+    step = F.struct((stop & ~skip).alias("stop"), F.when(~skip & ~stop, F.col("line")).alias("part"))
+    ahead = F.collect_list(step).over(Window.partitionBy(*keys).orderBy("line_no").rowsBetween(1, most))
+    end = F.array_position(F.transform(ahead, lambda x: x["stop"]), True).cast("int")
+    taken = F.when(end > 0, F.slice(ahead, F.lit(1), end - 1)).otherwise(ahead)
+    return F.concat_ws(" ", F.col("line"), F.transform(taken, lambda x: x["part"]))
+
+
+def _naming(records: DataFrame, lines: DataFrame, keys) -> DataFrame:
+    """Records (keys, Country, Event), each once, with the lines of their own page
+    that name the country: an equi-join on names that texts are known to hold."""
+    asked = records.select(*keys, "Country", "Event").distinct().withColumn("_name", F.lower("Country")).filter("length(_name) > 0")
+    hits = contained(lines.select(F.col("low").alias("text")).distinct(), asked.select(F.col("_name").alias("name")).distinct())
+    return asked.join(lines.join(hits.withColumnsRenamed({"text": "low", "name": "_name"}), "low"), [*keys, "_name"])
+
+
+def _with_told(records: DataFrame, told: DataFrame, keys) -> DataFrame:
+    fields = [*keys, "Country", "Event"]
+    told = told.withColumnsRenamed({f: f"_of_{f}" for f in fields})
+    same = [records[f].eqNullSafe(told[f"_of_{f}"]) for f in fields]
+    return records.join(told, same, "left").drop(*[f"_of_{f}" for f in fields]).withColumn("narrative", F.coalesce("narrative", F.lit("")))
+
+
+def told_of(records: DataFrame, pages: DataFrame, known: DataFrame, words: DataFrame | None = None, keys=("page_id",)) -> DataFrame:
+    """Records (keys, Country, Event) with the ``narrative`` that their page tells.
+
+    It begins with the page's first line of 30 characters or more, not a heading,
+    that names the country and a keyword of the event, and takes up to four lines
+    more; without such a line, with the first that names the country and says
+    more, and two lines, of 500 characters at most. Lines under 20 characters are
+    passed over; a line that begins with a country, or a heading, ends it. Records
+    without a country or a telling line have an empty one.
+    """
+    lines = page_lines(pages, known, words, keys)
+    ends, short = F.col("names") | says(F.col("low"), HEADINGS[:3]), F.length("line") < 20
+    begun = lines.withColumns({"_long": carried_on(keys, 4, ends, short), "_brief": carried_on(keys, 2, ends, short)})
+    begun = begun.filter((F.length("line") >= 30) & ~says(F.col("low"), HEADINGS))
+    found = _naming(records, begun, keys)
+    at = lambda c, cond: F.min_by(c, F.when(cond, F.col("line_no")))
+    sure = F.exists(names.event_keywords(F.col("Event")), lambda w: F.col("low").contains(w))
+    told = found.groupBy(*keys, "Country", "Event").agg(at("_long", sure).alias("_sure"), at("_brief", F.col("low") != F.col("_name")).alias("_any"))
+    return _with_told(records, told.select(*keys, "Country", "Event", F.coalesce("_sure", S.clipped(F.col("_any"), 500)).alias("narrative")), keys)
+
+
+def longest_told(records: DataFrame, pages: DataFrame, known: DataFrame, keys=("page_id",), most: int = 300) -> DataFrame:
+    """Records (keys, Country, Event) with the longest ``narrative`` of their page.
+
+    Each line of over 50 characters that names the country and is no heading
+    begins one; up to three lines go on, until one of 30 characters or fewer or one
+    that begins with a country. Of equally long ones the first counts; more than
+    ``most`` characters are cut and marked.
+    """
+    lines = page_lines(pages, known, keys=keys)
+    begun = lines.withColumn("_told", carried_on(keys, 3, (F.length("line") <= 30) | F.col("names")))
+    begun = begun.filter((F.length("line") > 50) & ~says(F.col("low"), (*HEADINGS[:3], "total cases")))
+    found = _naming(records, begun, keys)
+    told = found.groupBy(*keys, "Country", "Event").agg(F.max_by("_told", F.struct(F.length("_told"), -F.col("line_no"))).alias("_told"))
+    cut = F.when(F.length("_told") > most, F.concat(F.substring("_told", 1, most), F.lit("..."))).otherwise(F.col("_told"))
+    return _with_told(records, told.select(*keys, "Country", "Event", cut.alias("narrative")), keys)
+
+
+def stage_one(rows: DataFrame, pages: DataFrame, known: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """Records of table rows (doc, page, row_no, cells), from the page on that says
+    ``MARKER``, with the longest narrative of their page (doc, page, text).
+
+    A row is a record if three of its cells are filled, the first of them names a
+    known country (name) and says no heading. Cells are the fields in order; the
+    places that a row lacks are empty.
+    """
+    begins = pages.groupBy(doc).agg(F.min(F.when(F.col("text").contains(MARKER), F.col("page"))).alias("_from"))
+    cells = rows.withColumn("cells", F.transform("cells", lambda c: S.spaces(F.coalesce(c, F.lit("")))))
+    first = F.lower(T.first_cell(F.col("cells")))
+    cells = cells.join(begins, doc).filter(F.col("page") >= F.col("_from")).withColumn("_word", first)
+    filled = F.size(F.filter("cells", lambda c: F.length(c) > 0))
+    cells = cells.filter((F.size("cells") >= 3) & (filled >= 3) & ~says(F.col("_word"), ("country", "new events", "ongoing events")))
+    cells = cells.join(country_words(cells.select(F.col("_word").alias("word")), known).withColumnRenamed("word", "_word"), "_word", "left_semi")
+    return longest_told(cells.select(doc, "page", "row_no", *T.fields_by_place(F.col("cells"))), pages.select(doc, "page", "text"), known, (doc, "page"))
+
+
+def summaries(records: DataFrame, by, top: int = 10) -> DataFrame:
+    """(by, records, countries, events, document): each bulletin's counts, its
+    ``top`` events and countries, most frequent first, and all its grades, also as
+    one JSON document. Values are counted before any bulletin's are gathered."""
+    by = [by] if isinstance(by, str) else list(by)
+    kinds = {"event_types": ("Event", top), "grade_distribution": ("Grade", None), "top_countries": ("Country", top)}
+    entries = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value"), F.lit(n).cast("int").alias("most")) for k, (c, n) in kinds.items()])
+    counts = records.select(*by, F.inline(entries)).filter("value IS NOT NULL").groupBy(*by, "kind", "value", "most").agg(F.count("*").alias("n"))
+    nth = F.row_number().over(Window.partitionBy(*by, "kind").orderBy(F.desc("n"), "value"))
+    leading = counts.withColumn("nth", nth).filter("most IS NULL OR nth <= most")
+    of = lambda k: F.map_from_entries(F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.struct("nth", "value", "n")))), lambda x: F.struct(x["value"], x["n"]))).alias(k)
+    sizes = records.groupBy(*by).agg(F.count("*").alias("records"), F.countDistinct("Country").alias("countries"), F.countDistinct("Event").alias("events"))
+    both = sizes.join(leading.groupBy(*by).agg(*[of(k) for k in kinds]), by, "left")
+    return both.withColumn("document", F.to_json(F.struct("records", "countries", "events", *kinds))).drop(*kinds)
+
+
+def export_metadata(records: DataFrame, by) -> DataFrame:
+    """(by, total_records, countries, events) with sorted lists of distinct names."""
+    names_of = lambda c: F.sort_array(F.collect_set(c)).alias
+    return records.groupBy(*([by] if isinstance(by, str) else by)).agg(F.count("*").alias("total_records"), names_of("Country")("countries"), names_of("Event")("events"))

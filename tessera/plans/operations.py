@@ -421,17 +421,19 @@ def html_table_rows(spark, sf_dir):
     return rows.select("o_orderkey", "row_no", F.array_join("cells", "|").alias("cells"))
 
 
+_CELLS = "CASE l_linenumber % 4 WHEN 0 THEN array('Country', 'Event', 'Grade', 'Total cases', 'Deaths', 'CFR') WHEN 3 THEN array('Ongoing events') ELSE array(concat('Land', chr(int(65 + l_suppkey % 26))), 'Cholera', 'Grade 2', concat(int(l_quantity), ''), '', '1.5%') END"
+# A number of a line that no other line of its supplier has.
+_FINE = "(l_orderkey * 10 + l_linenumber) * 2000000000 + CAST(l_quantity AS INT) * 20000000 + CAST(round(l_extendedprice * 100) AS BIGINT)"
+
+
 def cells(spark, sf_dir) -> DataFrame:
     """Ragged rows: a table per order, its lines as data rows among others."""
-    line = "CASE l_linenumber % 4 WHEN 0 THEN array('Country', 'Event', 'Grade', 'Total cases', 'Deaths', 'CFR') WHEN 3 THEN array('Ongoing events') ELSE array(concat('Land', chr(int(65 + l_suppkey % 26))), 'Cholera', 'Grade 2', concat(int(l_quantity), ''), '', '1.5%') END"
-    return table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS table_id", "l_linenumber AS row_no", f"{line} AS cells")
+    return table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS table_id", "l_linenumber AS row_no", f"{_CELLS} AS cells")
 
 
 def supplier_cells(spark, sf_dir) -> DataFrame:
     """The same rows in one table a supplier, for the row-by-row state machine."""
-    keys = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS table_id", "l_linenumber AS row_no", "l_suppkey")
-    rows = cells(spark, sf_dir).join(keys, ["table_id", "row_no"])
-    return rows.select(F.col("l_suppkey").alias("table_id"), (F.col("table_id") * 10 + F.col("row_no")).alias("row_no"), "cells")
+    return table(spark, sf_dir, "lineitem").selectExpr("l_suppkey AS table_id", f"{_FINE} AS row_no", f"{_CELLS} AS cells")
 
 
 @register("table_row_predicates", "SELECT l_orderkey AS table_id, l_linenumber AS row_no, l_linenumber % 4 IN (1, 2) AS data_row, l_linenumber % 4 IN (1, 2) AS has_number, l_linenumber % 4 = 0 AS header FROM lineitem")
@@ -446,12 +448,17 @@ def surveillance_tables(spark, sf_dir):
     return T.could_be_surveillance(cells(spark, sf_dir)).withColumn("wanted", F.coalesce("wanted", F.lit(False)))
 
 
-@register("table_narratives")
+@register("table_narratives", "SELECT l_orderkey AS table_id, l_linenumber AS row_no, '' AS narrative FROM lineitem WHERE l_linenumber % 4 IN (1, 2)")
 def table_narratives(spark, sf_dir):
     return T.following_narrative(cells(spark, sf_dir)).select("table_id", "row_no", "narrative")
 
 
-@register("alternating_rows")
+@register("alternating_rows", f"""WITH r AS (SELECT l_suppkey AS table_id, {_FINE} AS row_no, l_linenumber % 4 AS k,
+  CASE l_linenumber % 4 WHEN 0 THEN 'Country Event Grade Total cases Deaths CFR' WHEN 3 THEN 'Ongoing events' ELSE concat('Land', chr(CAST(65 + l_suppkey % 26 AS INTEGER)), ' Cholera Grade 2 ', CAST(l_quantity AS INTEGER), ' 1.5%') END AS told FROM lineitem),
+h AS (SELECT *, min(CASE WHEN k IN (0, 3) THEN row_no END) OVER (PARTITION BY table_id) AS head, lead(told) OVER (PARTITION BY table_id ORDER BY row_no) AS next_told FROM r),
+i AS (SELECT *, sum(CASE WHEN k = 3 THEN 1 ELSE 0 END) OVER (PARTITION BY table_id ORDER BY row_no) AS run FROM h WHERE head IS NULL OR row_no > head),
+j AS (SELECT *, row_number() OVER (PARTITION BY table_id, run ORDER BY row_no) AS n FROM i WHERE k <> 3)
+SELECT table_id, row_no, coalesce(next_told, '') AS narrative FROM j WHERE n % 2 = 1""")
 def alternating_rows(spark, sf_dir):
     ship_package(spark)
     return T.paired_narrative(supplier_cells(spark, sf_dir)).select("table_id", "row_no", "narrative")
@@ -466,9 +473,9 @@ def text_pattern_records(spark, sf_dir):
     return rows.select("o_orderkey", "Country", "Event", "Total_Cases", "Confirmed_Cases", "Deaths", "CFR")
 
 
-def boxes(spark, sf_dir) -> DataFrame:
+def boxes(spark, sf_dir, box: str = "l_orderkey * 10 + l_linenumber") -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").alias("doc_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("box"), (F.col("l_orderkey") % 200).cast("int").alias("page"),
+        F.col("l_suppkey").alias("doc_id"), F.expr(box).alias("box"), (F.col("l_orderkey") % 200).cast("int").alias("page"),
         (F.col("l_quantity") * 10).alias("x0"), F.lit(0.0).alias("y0"), (F.col("l_quantity") * 10 + F.col("l_linenumber") * 40).alias("x1"), F.lit(100.0).alias("y1"), F.col("l_discount").alias("confidence"),
     )
 
@@ -479,11 +486,15 @@ def range_join_regions(spark, sf_dir):
     return T.similar_regions(boxes(spark, sf_dir)).groupBy("doc_id").agg(F.count("*").alias("pairs"), F.min("a_box").alias("first_box"), F.max("b_box").alias("last_box"))
 
 
-@register("stitched_regions")
+@register("stitched_regions", f"""WITH b AS (SELECT l_suppkey AS doc_id, {_FINE} AS box, CAST(l_orderkey % 200 AS INT) AS page, CAST(l_quantity * 10 AS DOUBLE) AS x0, CAST(l_quantity * 10 + l_linenumber * 40 AS DOUBLE) AS x1, CAST(l_discount AS DOUBLE) AS conf FROM lineitem),
+c AS (SELECT *, (x0 + x1) / 2 AS m, x1 - x0 AS w FROM b),
+s AS (SELECT doc_id, list_reduce(list([{{'page': page, 'm': m, 'w': w}}] ORDER BY box), lambda a, n: CASE WHEN len(list_filter(a, lambda z: abs(z.page - n[1].page) <= 2 AND abs(z.m - n[1].m) <= 50 AND abs(z.w - n[1].w) <= 50)) > 0 THEN a ELSE list_concat(a, n) END) AS seeds FROM c GROUP BY doc_id),
+g AS (SELECT c.*, list_position(list_transform(seeds, lambda z: abs(z.page - page) <= 2 AND abs(z.m - m) <= 50 AND abs(z.w - w) <= 50), true) - 1 AS grp FROM c JOIN s USING (doc_id))
+SELECT doc_id, CAST(grp AS BIGINT) AS "group", min(x0) AS x0, CAST(0 AS DOUBLE) AS y0, max(x1) AS x1, CAST(100 AS DOUBLE) AS y1, min(page) AS first_page, max(page) AS last_page, round(avg(conf), 6) AS confidence, count(*) AS boxes FROM g GROUP BY doc_id, grp""")
 def stitched_regions(spark, sf_dir):
     ship_package(spark)
-    b = boxes(spark, sf_dir)
-    return T.united(b, T.stitched(b))
+    b = boxes(spark, sf_dir, _FINE)
+    return T.united(b, T.stitched(b)).withColumn("confidence", F.round("confidence", 6))
 
 
 @register("positioned_lines", """WITH w AS (SELECT l_suppkey AS page_id, l_orderkey * 10 + l_linenumber AS seq, CAST(l_quantity AS DOUBLE) AS y0, l_extendedprice AS x0, l_returnflag AS text FROM lineitem),

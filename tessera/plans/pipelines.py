@@ -71,6 +71,13 @@ def pick_bulletin(rows: DataFrame, week: int | None, current_year: int) -> DataF
     return wanted.orderBy(F.desc(F.coalesce(F.col("year") == current_year, F.lit(False))), F.desc("year"), F.desc("week")).limit(1)
 
 
+def pick_bulletins(rows: DataFrame, current_year: int) -> DataFrame:
+    """``pick_bulletin`` for every week at once."""
+    order = F.struct(F.coalesce(F.col("year") == current_year, F.lit(False)), "year", *[c for c in rows.columns if c not in ("week", "year")])
+    best = rows.groupBy("week").agg(F.max_by(F.struct(*rows.columns), order).alias("_b"))
+    return best.select("_b.*")
+
+
 def backfill(pairs: DataFrame, logged: DataFrame, force: bool = False) -> DataFrame:
     """Accuracy per version and model that the log lacks yet, versions in order."""
     found = metrics.accuracy(pairs, by=("version", "model"))

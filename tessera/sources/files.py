@@ -26,6 +26,15 @@ def csv_folder(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumns({"WeekNumber": week, "Year": year})
 
 
+def filled_tables(spark: SparkSession, path: str, rows: int = 2, columns: int = 3) -> DataFrame:
+    """Rows of a folder's table files of more than ``rows`` rows and ``columns``
+    columns, with the file's name; files share one header."""
+    df = csv(spark, f"{path.rstrip('/')}/*.csv").withColumn("SourceFile", F.col("_metadata.file_name"))
+    if len(df.columns) - 1 <= columns:
+        return df.limit(0)
+    return df.join(df.groupBy("SourceFile").agg(F.count("*").alias("_n")).filter(F.col("_n") > rows).drop("_n"), "SourceFile", "left_semi")
+
+
 def rule_csv(spark: SparkSession, path: str) -> DataFrame:
     return names.rename_headers(csv(spark, path))
 

@@ -93,3 +93,10 @@ def write_corrected(df: DataFrame, corrections: DataFrame, folder: str) -> None:
     df.write.mode("overwrite").json(f"{folder}/records_json")
     write_csv(df, f"{folder}/records_csv")
     write_report(corrections, f"{folder}/corrections")
+
+
+def write_export(records: DataFrame, metadata: DataFrame, folder: str, by) -> None:
+    """Records as JSON lines in a folder per bulletin, and a document of metadata
+    per bulletin beside them."""
+    records.write.mode("overwrite").partitionBy(*by).json(f"{folder}/records")
+    write_report(metadata, f"{folder}/metadata")

@@ -6,7 +6,7 @@ import os
 import pytest
 
 duckdb = pytest.importorskip("duckdb")
-from tessera.plans import catalog, matching, operations, reconciliation, tasks  # noqa: E402, F401
+from tessera.plans import bulletins, catalog, matching, operations, reconciliation, tasks  # noqa: E402, F401
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
