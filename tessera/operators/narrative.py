@@ -52,16 +52,24 @@ def rows_as_json(df: DataFrame, row_id: str, columns: list[str]) -> DataFrame:
     return df.select(row_id, F.to_json(F.struct(F.col(row_id).alias("row_id"), *columns)).alias("record"))
 
 
-def country_words(words: DataFrame, known: DataFrame) -> DataFrame:
-    """(word), lower-cased: those of 50 characters at most that hold a known name
-    (name) or are a part of one, ignoring case. Both ways go through ``contained``."""
-    own = words.select(F.lower("word").alias("word")).filter("length(word) BETWEEN 1 AND 50").distinct()
+def country_words(words: DataFrame, known: DataFrame, most: int = 50) -> DataFrame:
+    """(word), lower-cased: those of ``most`` characters at most that hold a known
+    name (name) or are a part of one, ignoring case. Words are short, so their and
+    the names' parts meet in equi-joins."""
+    own = words.select(F.lower("word").alias("word")).filter(F.length("word").between(1, most)).distinct()
     dim = known.select(F.lower("name").alias("name")).filter("length(name) > 0").distinct()
-    part = contained(dim.select(F.col("name").alias("text")), own.select(F.col("word").alias("name"))).select(F.col("name").alias("word"))
-    holds = contained(own.select(F.col("word").alias("text")), dim).select(F.col("text").alias("word"))
+    part = own.join(dim.select(F.explode(_pieces("name", most)).alias("word")).distinct(), "word", "left_semi")
+    holds = own.withColumn("name", F.explode(_pieces("word", most))).join(dim, "name", "left_semi").select("word")
     return part.union(holds).distinct()
 
 
+def _pieces(c: str, most: int) -> Column:
+    """The distinct parts of ``most`` characters at most of a text that isn't empty."""
+    size = F.length(c)
+    each = F.transform(F.sequence(F.lit(1), size), lambda a: F.transform(F.sequence(F.lit(1), F.least(size - a + 1, F.lit(most))), lambda n: F.substr(F.col(c), a, n)))
+    return F.array_distinct(F.flatten(each))
+
+
 def page_lines(pages: DataFrame, known: DataFrame, words: DataFrame | None = None, keys=("page_id",)) -> DataFrame:
     """(keys, line_no, line, low, names): lines of page texts, single-spaced, and
     whether the first word ``names`` a country.
