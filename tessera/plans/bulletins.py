@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import names
 from tessera.functions import scalars as S
+from tessera.operators import corrections as C
 from tessera.operators import logs as L
 from tessera.operators import narrative as N
 from tessera.operators import tables as T
@@ -127,6 +128,22 @@ def extracted_records(spark, sf_dir):
     return T.extracted(rows).select("table_id", "row_no", "page", "Country", "Event", "Total_Cases", "Deaths", "narrative")
 
 
+# A block an order, on a land of its own: revised deaths, a count that should be another, a malformed number, no number.
+_BLOCK = """CASE o_orderkey % 4 WHEN 0 THEN concat('In Land', o_orderkey, 'x the deaths of Fever', o_custkey, 'x were revised to ', o_custkey + 1) WHEN 1 THEN concat('For Land', o_orderkey, 'x it should be ', o_custkey * 2, ' patients')
+  WHEN 2 THEN concat('Land', o_orderkey, 'x has 12,34 and not 12,345') ELSE concat('Land', o_orderkey, 'x is calm') END"""
+
+
+@register("told_corrections", """SELECT concat('Land', o_orderkey, 'x') AS Country, CASE o_orderkey % 4 WHEN 0 THEN 'Deaths' ELSE 'TotalCases' END AS field, CASE o_orderkey % 4 WHEN 0 THEN CAST(o_custkey AS VARCHAR) WHEN 1 THEN CAST(o_custkey * 2 + 1 AS VARCHAR) ELSE '12,34' END AS old_value,
+  CAST(CASE o_orderkey % 4 WHEN 0 THEN o_custkey + 1 WHEN 1 THEN o_custkey * 2 ELSE 12345 END AS DOUBLE) AS new_value, CASE o_orderkey % 4 WHEN 0 THEN 'revision' WHEN 1 THEN 'should_be' ELSE 'formatting' END AS kind,
+  CAST(CASE o_orderkey % 4 WHEN 0 THEN 1.0 WHEN 1 THEN CASE WHEN o_custkey > 0 THEN 0.7 ELSE 0.6 END ELSE 0.8 END AS DOUBLE) AS confidence FROM orders WHERE o_orderkey % 4 < 3""")
+def told_corrections(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    rows = orders.selectExpr("concat('Land', o_orderkey, 'x') AS Country", "concat('Fever', if(o_orderkey % 4 = 0, o_custkey, -1 - o_orderkey), 'x') AS Event", "if(o_orderkey % 4 = 2, '12,34', string(o_custkey * 2 + 1)) AS TotalCases", "string(o_custkey) AS Deaths", "'0' AS CasesConfirmed")
+    blocks = orders.selectExpr(f"{_BLOCK} AS text")
+    own = F.col("text").contains(F.col("Country"))  # blocks of the same event speak of other lands
+    return C.told_corrections(rows, blocks).filter(own).select("Country", "field", "old_value", "new_value", "kind", "confidence")
+
+
 # --------------------------------------------------------- summaries, exports
 
 
