@@ -8,7 +8,7 @@ from tessera.functions import jsontext as J
 from tessera.operators import corrections as C
 from tessera.operators import logs as L
 from tessera.operators import narrative, reconcile
-from tessera.operators.textmatch import contained
+from tessera.operators.textmatch import held, text_key
 from tessera.plans.catalog import register
 from tessera.plans.harness import PAIRS_SQL, SIDES_SQL, side_a, side_b
 from tessera.session import ship_package, table
@@ -23,7 +23,7 @@ def names_in_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("text"))
     names = L.sql(spark, _NAMES.replace("FROM nation", "FROM {nation}").replace("FROM documents", "FROM {documents}").replace("FROM part", "FROM {part}"),
                   **{t: table(spark, sf_dir, t) for t in ("nation", "documents", "part")})
-    return docs.join(contained(docs.select("text"), names), "text").select("doc_id", "name")
+    return docs.select("doc_id", text_key(F.col("text")).alias("key")).join(held(docs, names), "key").select("doc_id", "name")
 
 
 @register("linked_documents", """WITH r AS (SELECT DISTINCT n_name AS Country, substr(c_mktsegment, 1, 4) AS Event FROM customer JOIN nation ON c_nationkey = n_nationkey),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions import jsontext as J
 from tessera.functions import names
 from tessera.operators import cleaning, corrections, logs, reconcile, tables
-from tessera.operators.textmatch import contained
+from tessera.operators.textmatch import contained, held
 from tessera.sources import files, sinks
 from tessera.streaming import ingest
 
@@ -146,3 +146,13 @@ def test_validity_by_group(spark):
     rows = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x")], "Country string, Event string")
     assert {x["Country"]: x["valid"] for x in cleaning.still_valid(rows, rows.filter("Country = 'a'"), by="Country").collect()} == {"a": True, "b": False}
     assert cleaning.still_valid(rows, rows).first()["valid"]
+
+
+def test_links_are_merged_and_texts_travel_once(spark):
+    """Nothing that grows with names or texts is broadcast, and pairs carry no text."""
+    rows = spark.createDataFrame([(k, f"Land {k}", f"Event {k}") for k in range(50)], "i int, Country string, Event string")
+    blocks = spark.createDataFrame([(k, f"in land {k} event {k + 1} had 3 cases") for k in range(60)], "b int, text string")
+    fixes = rows.selectExpr("i AS seq", "Country AS country", "Event AS event", "'Event' AS field", "Event AS old_value", "'x' AS new_value", "0.9 AS confidence")
+    for df in (corrections.linked(rows, blocks), corrections.unique_text_matches(rows, fixes, "i"), corrections.told_corrections(rows, blocks)):
+        assert "Broadcast" not in plan_of(df)
+    assert held(blocks.select("text"), rows.select(names.F.lower("Country").alias("name"))).columns == ["key", "name"]
