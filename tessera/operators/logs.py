@@ -64,17 +64,20 @@ def next_id(*tables: DataFrame, column: str = "id") -> DataFrame:
 def numbered(rows: DataFrame, order, *tables: DataFrame, column: str = "id", parts: int | None = None) -> DataFrame:
     """Rows with ids in ascending ``order`` after the largest of the tables.
 
-    Rows are cut into ranges of about equal counts by the keys of a bounded
-    sample, each range is counted and numbered by itself, and what lies before
-    it is added: no task holds more than a range. Equal keys are told apart by a
-    hash of the whole row, so only rows equal throughout share a range for sure.
+    Rows are dealt into ranges of about equal counts and written, each range is
+    counted and numbered by itself, and what lies before it is added: no task
+    holds more than a range, and no row looks at the ranges. Equal keys are told
+    apart by a hash of the whole row, so only rows equal throughout share a range
+    for sure.
     """
+    from tessera.plans.operations import scratch
+
     parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashed = [c for c, t in rows.dtypes if "map<" not in t and t != "variant"]
     keyed = rows.withColumn("_key", F.struct(*order, F.xxhash64(*hashed).alias("_hash")))
-    sample = keyed.select("_key").orderBy(F.xxhash64("_key._hash")).limit(32 * parts)
-    cuts = sample.agg(F.array_sort(F.collect_list("_key")).alias("_all")).select(F.filter("_all", lambda _, i: (i % 32) == 31).alias("_cuts"))  # ``parts`` keys
-    ranged = keyed.join(F.broadcast(cuts)).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col("_key")))).drop("_cuts")
+    ranged, folder = keyed.repartitionByRange(parts, "_key").withColumn("_range", F.spark_partition_id()), scratch(rows.sparkSession, "ranges")
+    ranged.write.parquet(folder)
+    ranged = rows.sparkSession.read.schema(ranged.schema).parquet(folder)
     counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
     before = counts.select(F.col("_range").alias("_of"), F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # a row a range
     place = F.row_number().over(Window.partitionBy("_range").orderBy("_key"))

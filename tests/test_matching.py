@@ -156,3 +156,9 @@ def test_links_are_merged_and_texts_travel_once(spark):
     for df in (corrections.linked(rows, blocks), corrections.unique_text_matches(rows, fixes, "i"), corrections.told_corrections(rows, blocks)):
         assert "Broadcast" not in plan_of(df)
     assert held(blocks.select("text"), rows.select(names.F.lower("Country").alias("name"))).columns == ["key", "name"]
+
+
+def test_no_row_looks_at_all_ranges(spark):
+    out = logs.numbered(spark.range(1000).selectExpr("id % 7 AS a", "id AS b"), ["a"], parts=5)
+    assert "_cuts" not in plan_of(out)
+    assert [(x["id"], x["a"]) for x in out.orderBy("id").collect()] == [(k + 1, a) for k, a in enumerate(sorted(k % 7 for k in range(1000)))]
