@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tessera.functions import names
 from tessera.functions import scalars as S
 from tessera.operators import tables as T
-from tessera.operators.textmatch import contained
 
 # What headers of tables say; the first three also end a narrative.
 HEADINGS = ("country", "event", "grade", "date notified", "total cases", "start of reporting", "end of reporting", "cases confirmed", "ongoing events", "new events", "cfr", "deaths")
@@ -104,10 +103,10 @@ def carried_on(keys, most: int, stop: Column, skip: Column | None = None) -> Col
 
 def _naming(records: DataFrame, lines: DataFrame, keys) -> DataFrame:
     """Records (keys, Country, Event), each once, with the lines of their own page
-    that name the country: an equi-join on names that texts are known to hold."""
+    that name the country. They meet by page, which is a bounded group, so lines
+    stay where they were carried on."""
     asked = records.select(*keys, "Country", "Event").distinct().withColumn("_name", F.lower("Country")).filter("length(_name) > 0")
-    hits = contained(lines.select(F.col("low").alias("text")).distinct(), asked.select(F.col("_name").alias("name")).distinct())
-    return asked.join(lines.join(hits.withColumnsRenamed({"text": "low", "name": "_name"}), "low"), [*keys, "_name"])
+    return asked.join(lines, list(keys)).filter(F.col("low").contains(F.col("_name")))
 
 
 def _with_told(records: DataFrame, told: DataFrame, keys) -> DataFrame:
