@@ -190,7 +190,7 @@ def exported_calls(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select(F.concat(F.lit("call_"), F.col("user_id").cast("string")).alias("name"), "event_id", "event_type")
     sinks.write_named(rows.filter("name < 'call_5'"), folder)
     sinks.write_named(rows.withColumn("event_type", F.when(F.col("name") < "call_5", "overwritten").otherwise(F.col("event_type"))), folder)
-    found = files.csv(spark, f"{folder}/*.csv").withColumn("name", F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", ""))
+    found = files.csv(spark, folder, columns=["event_id", "event_type"]).withColumn("name", F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", ""))
     return found.select("name", F.col("event_id").cast("long").alias("event_id"), "event_type")
 
 

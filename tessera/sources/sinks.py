@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+RENAMES = 32  # at a time
+
 
 def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
     (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
@@ -56,7 +59,8 @@ def write_named(df: DataFrame, folder: str, name: str = "name", force: bool = Fa
     Files that are there are left alone unless ``force`` is set, so a run that was
     cut short is finished by another. Files are written in a folder that readers
     pass over and then renamed: none is ever seen in part. Rows without a name are
-    left out. The driver renames, a call a file.
+    left out. Tasks publish their files in that folder themselves, and the driver
+    renames many at a time.
     """
     spark = df.sparkSession
     jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -68,16 +72,21 @@ def write_named(df: DataFrame, folder: str, name: str = "name", force: bool = Fa
         there = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(root).select(F.regexp_extract("path", r"([^/]*)\.csv$", 1).alias(name))
         df = df.join(there.distinct(), name, "left_anti")
     staging = f"{root}/_staging_{uuid.uuid4().hex}"
-    df.withColumn("_group", F.col(name).cast("string")).drop(name).repartition("_group").write.option("header", True).option("emptyValue", "").partitionBy("_group").csv(staging)
-    done = 0
-    for group in fs.listStatus(path(staging)):
-        if group.isDirectory():
-            value = unquote(group.getPath().getName().removeprefix("_group="))
-            (part,) = [f.getPath() for f in fs.listStatus(group.getPath()) if f.getPath().getName().startswith("part-")]
-            target = path(root, f"{value}.csv")
+    df.withColumn("_group", F.col(name).cast("string")).drop(name).repartition("_group").write.option("header", True).option("emptyValue", "").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("_group").csv(staging)
+
+    def publish(group) -> int:
+        if not group.isDirectory():
+            return 0
+        value = unquote(group.getPath().getName().removeprefix("_group="))
+        (part,) = [f.getPath() for f in fs.listStatus(group.getPath()) if f.getPath().getName().startswith("part-")]
+        target = path(root, f"{value}.csv")
+        if force:
             fs.delete(target, False)
-            fs.rename(part, target)
-            done += 1
+        fs.rename(part, target)
+        return 1
+
+    with ThreadPoolExecutor(RENAMES) as pool:
+        done = sum(pool.map(publish, fs.listStatus(path(staging))))
     fs.delete(path(staging), True)
     return done
 

@@ -162,3 +162,11 @@ def test_no_row_looks_at_all_ranges(spark):
     out = logs.numbered(spark.range(1000).selectExpr("id % 7 AS a", "id AS b"), ["a"], parts=5)
     assert "_cuts" not in plan_of(out)
     assert [(x["id"], x["a"]) for x in out.orderBy("id").collect()] == [(k + 1, a) for k, a in enumerate(sorted(k % 7 for k in range(1000)))]
+
+
+def test_named_files_are_published_by_tasks(spark, tmp_path):
+    rows = spark.range(200).selectExpr("concat('n', id % 90) AS name", "id")
+    folder = str(tmp_path / "named")
+    assert sinks.write_named(rows, folder) == 90 and sinks.write_named(rows, folder) == 0
+    assert sinks.write_named(rows.limit(1), folder, force=True) == 1
+    assert files.csv(spark, folder, columns=["id"]).count() == 200 - 2 and sinks.RENAMES > 1
