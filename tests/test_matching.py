@@ -170,3 +170,31 @@ def test_named_files_are_published_by_tasks(spark, tmp_path):
     assert sinks.write_named(rows, folder) == 90 and sinks.write_named(rows, folder) == 0
     assert sinks.write_named(rows.limit(1), folder, force=True) == 1
     assert files.csv(spark, folder, columns=["id"]).count() == 200 - 2 and sinks.RENAMES > 1
+
+
+def test_named_files_are_written_by_all_tasks(spark, tmp_path):
+    """Rows that came as one partition are dealt, and tasks leave no folder a file behind; odd values are quoted as Spark does."""
+    rows = spark.range(300).coalesce(1).selectExpr("concat('n', id % 90) AS name", "if(id % 3 = 0, concat('a,\"', id), if(id % 3 = 1, NULL, '')) AS `v w`", "id")
+    folder, plain = str(tmp_path / "named"), str(tmp_path / "plain")
+    assert sinks.write_named(rows, folder) == 90
+    rows.drop("name").write.option("header", True).option("emptyValue", "").csv(plain)
+    lines = lambda at: sorted(x["value"] for x in spark.read.text(at).filter("value NOT LIKE 'v w,%'").collect())
+    assert lines(folder) == lines(plain) and spark.read.text(folder).filter("value = 'v w,id'").count() == 90
+    assert sorted(os.listdir(folder)) == sorted(f"n{k}.csv" for k in range(90))
+    # A slash doesn't lead into another folder, and a rewritten file keeps no old checksum.
+    assert sinks.write_named(spark.createDataFrame([("b/c d", 3), (None, 4)], "name string, v int"), folder) == 1 and "b%2Fc d.csv" in os.listdir(folder)
+
+
+def test_texts_are_written_a_file_a_name(spark, tmp_path):
+    folder = str(tmp_path / "texts")
+    rows = spark.createDataFrame([("a", "x" * 5), ("b", None), ("c", "é")], "name string, text string")
+    assert sinks.write_texts(rows, folder, ".pdf") == 3 and sinks.write_texts(rows, folder, ".pdf") == 0
+    assert sorted((x["name"], x["bytes"]) for x in files.listing(spark, folder).select("name", "bytes").collect()) == [("a.pdf", 6), ("b.pdf", 1), ("c.pdf", 3)]
+
+
+def test_other_stores_are_written_by_sparks_writer(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "MOUNTED", ())
+    rows, folder = spark.range(200).selectExpr("concat('n', id % 90) AS name", "id"), str(tmp_path / "named")
+    assert sinks.write_named(rows, folder) == 90 and sinks.write_named(rows, folder) == 0
+    assert sinks.write_named(rows.limit(1), folder, force=True) == 1
+    assert files.csv(spark, folder, columns=["id"]).count() == 200 - 2
