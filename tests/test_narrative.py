@@ -208,3 +208,15 @@ def test_filled_tables(spark, tmp_path):
         (tmp_path / f"{name}.csv").write_text("w,x,y,z\n" + "1,2,3,4\n" * n)
     assert {x["SourceFile"] for x in files.filled_tables(spark, str(tmp_path)).collect()} == {"b.csv"}
     assert files.filled_tables(spark, str(tmp_path), columns=4).count() == 0
+
+
+def test_a_file_a_supplier_needs_no_folder(spark):
+    import os
+    from urllib.parse import urlparse
+
+    from __spark_entry__ import DATA, queries
+    from tessera.plans import operations
+
+    assert queries()["valid_files"](spark, DATA).count() == spark.read.parquet(f"{DATA}/supplier.parquet").count()
+    found = list(os.scandir(urlparse(operations._made[-1][1]).path))
+    assert found and all(f.is_file() for f in found)
