@@ -57,9 +57,10 @@ def country_words(words: DataFrame, known: DataFrame, most: int = 50) -> DataFra
     the names' parts meet in equi-joins."""
     own = words.select(F.lower("word").alias("word")).filter(F.length("word").between(1, most)).distinct()
     dim = known.select(F.lower("name").alias("name")).filter("length(name) > 0").distinct()
-    part = own.join(dim.select(F.explode(_pieces("name", most)).alias("word")).distinct(), "word", "left_semi")
-    holds = own.withColumn("name", F.explode(_pieces("word", most))).join(dim, "name", "left_semi").select("word")
-    return part.union(holds).distinct()
+    # Both at once, so that lines are not made anew for each: a word asks for itself among parts of names, and its parts among names.
+    asks = F.concat(F.array(F.struct(F.lit(False).alias("whole"), F.col("word").alias("name"))), F.transform(_pieces("word", most), lambda p: F.struct(F.lit(True).alias("whole"), p.alias("name"))))
+    there = dim.select(F.lit(True).alias("whole"), "name").union(dim.select(F.lit(False).alias("whole"), F.explode(_pieces("name", most))).distinct())
+    return own.select("word", F.inline(asks)).join(there, ["whole", "name"], "left_semi").select("word").distinct()
 
 
 def _pieces(c: str, most: int) -> Column:
@@ -78,8 +79,9 @@ def page_lines(pages: DataFrame, known: DataFrame, words: DataFrame | None = Non
     """
     rows = T.lines(pages.select(*keys, "text")).withColumn("line_no", F.col("line_no").cast("long"))
     if words is not None:
-        placed = T.text_lines(words.filter("y0 IS NOT NULL"), *keys).select(*keys, "line_no", "line")
-        rows = rows.join(placed.select(*keys).distinct(), list(keys), "left_anti").unionByName(placed)
+        words = words.filter("y0 IS NOT NULL")
+        placed = T.text_lines(words, *keys).select(*keys, "line_no", "line")
+        rows = rows.join(words.select(*keys).distinct(), list(keys), "left_anti").unionByName(placed)
     rows = rows.withColumn("line", S.spaces(F.col("line"))).withColumn("low", F.lower("line"))
     rows = rows.withColumn("_word", F.element_at(F.split("low", " "), 1))
     begins = country_words(rows.select(F.col("_word").alias("word")), known).select(F.col("word").alias("_word"), F.lit(True).alias("names"))

@@ -220,3 +220,14 @@ def test_a_file_a_supplier_needs_no_folder(spark):
     assert queries()["valid_files"](spark, DATA).count() == spark.read.parquet(f"{DATA}/supplier.parquet").count()
     found = list(os.scandir(urlparse(operations._made[-1][1]).path))
     assert found and all(f.is_file() for f in found)
+
+
+def test_lines_are_built_a_batch_of_pages_at_a_time(spark):
+    """Not a page at a time, and no more than once for the names and once for the lines."""
+    from tessera.operators import tables
+
+    words = spark.createDataFrame([(1, None, 0.0, 1.0, "last"), (1, 2, 5.0, 12.0, "b"), (1, 1, 9.0, 10.0, "a"), (1, 3, 1.0, 7.0, "c"), (None, 1, 0.0, 0.0, "x")], "page_id int, seq int, x0 double, y0 double, text string")
+    assert sorted(((x["page_id"], x["line_no"], x["y0"], x["line"]) for x in tables.text_lines(words).collect()), key=str) == [(1, 0, 1.0, "last"), (1, 1, 10.0, "c b a"), (None, 0, 0.0, "x")]
+    pages = spark.createDataFrame([(1, "nothing")], "page_id int, text string")
+    plan = N.page_lines(pages, spark.createDataFrame([("Chad",)], "name string"), words)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" not in plan and 0 < plan.count("MapInArrow") <= 2
